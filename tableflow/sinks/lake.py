@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableflow.operators.projection import add_literals, in_target_order
 from tableflow.sources.tables import target_columns
@@ -18,17 +19,22 @@ def static_overwrite(df: DataFrame, table: str, spec: PartitionSpec) -> None:
         raise SpecError("a static partition overwrite needs a partition spec")
     spark = df.sparkSession
     rows = in_target_order(df, target_columns(spark, table, spec), allow_extra=True)
+    if not _is_file_table(spark, table):
+        add_literals(rows, spec).writeTo(table).overwrite(spec.predicate())
+        return
     given = {k.lower() for k in spec.keys}
     free = [quoted(k) for k in partition_columns(spark, table) if k.lower() not in given]
-    clause = ", ".join([spec.sql(), *free])
-    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({clause}) BY NAME SELECT * FROM {{rows}}",
-              rows=rows)
+    _insert_overwrite(rows, table, "static", f"PARTITION ({', '.join([spec.sql(), *free])})")
 
 
 def full_overwrite(df: DataFrame, table: str) -> None:
     """Replace the whole table."""
-    rows = in_target_order(df, target_columns(df.sparkSession, table), allow_extra=True)
-    (rows.write.option("partitionOverwriteMode", "static").mode("overwrite").insertInto(table))
+    spark = df.sparkSession
+    rows = in_target_order(df, target_columns(spark, table), allow_extra=True)
+    if _is_file_table(spark, table):
+        _insert_overwrite(rows, table, "static")
+    else:
+        rows.writeTo(table).overwrite(F.lit(True))
 
 
 def dynamic_overwrite(df: DataFrame, table: str, spec: PartitionSpec | None = None) -> None:
@@ -39,15 +45,22 @@ def dynamic_overwrite(df: DataFrame, table: str, spec: PartitionSpec | None = No
     spark = df.sparkSession
     rows = in_target_order(add_literals(df, spec or PartitionSpec()), target_columns(spark, table))
     if _is_file_table(spark, table):
-        rows.write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(table)
+        _insert_overwrite(rows, table, "dynamic")
     else:
         rows.writeTo(table).overwritePartitions()
 
 
+def _insert_overwrite(rows: DataFrame, table: str, mode: str, partition: str = "") -> None:
+    # The mode is given with the statement, so the session's own setting plays no part.
+    rows.sparkSession.sql(
+        f"INSERT OVERWRITE TABLE {table} WITH ('partitionOverwriteMode' = '{mode}') {partition} "
+        "BY NAME SELECT * FROM {rows}", rows=rows)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
 def _is_file_table(spark: SparkSession, table: str) -> bool:
     detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").first()
-    return detail is None or (detail["data_type"] or "").lower() in _FILE_PROVIDERS
+    return detail is not None and (detail["data_type"] or "").lower() in _FILE_PROVIDERS
