@@ -12,8 +12,9 @@ from tableflow.spec import SpecError
 UNIT_MILLIS = {"day": None, "hour": 3_600_000, "minute": 60_000, "second": 1_000}
 
 # Fixed formats: a date alone, or a date and a time whose trailing text is ignored.
-_DATE = r"^\s*\d{4}-\d{2}-\d{2}\s*$"
-_DATE_TIME = r"^[ \t]*\d{1,4}-[ \t]*\d{1,6}-[ \t]*\d{1,6} [ \t]*\d{1,6}:[ \t]*\d{1,6}:[ \t]*\d{1,6}"
+_READABLE = (r"^\s*\d{4}-\d{2}-\d{2}\s*$"
+             r"|^[ \t]*\d{1,4}-[ \t]*\d{1,6}-[ \t]*\d{1,6}"
+             r" [ \t]*\d{1,6}:[ \t]*\d{1,6}:[ \t]*\d{1,6}")
 
 
 def expire_at_ms(base: Column, interval: int, unit: str, zone: str | None = None) -> Column:
@@ -25,32 +26,29 @@ def expire_at_ms(base: Column, interval: int, unit: str, zone: str | None = None
     """
     if unit not in UNIT_MILLIS:
         raise SpecError(f"interval unit must be one of {list(UNIT_MILLIS)}, got {unit!r}")
-    local = _local_time(base)
+    local = _local_seconds(base)
     if unit == "day":
-        local = local + F.make_dt_interval(days=F.lit(interval))
-    moment = F.make_timestamp_ltz(
-        F.year(local), F.month(local), F.dayofmonth(local),
-        F.hour(local), F.minute(local), F.second(local).cast("decimal(16,6)"),
-        F.lit(zone) if zone else F.current_timezone())
+        local = local + F.lit(interval * 86_400)
+    moment = F.to_utc_timestamp(F.timestamp_seconds(local),
+                                F.lit(zone) if zone else F.current_timezone())
     millis = F.unix_millis(moment)
     return millis if unit == "day" else millis + F.lit(interval * UNIT_MILLIS[unit])
 
 
 def unreadable(base: Column) -> Column:
     """True where a base time is given but cannot be read."""
-    return base.isNotNull() & ~(base.rlike(_DATE) | base.rlike(_DATE_TIME))
+    return base.isNotNull() & ~base.rlike(_READABLE)
 
 
-def _local_time(base: Column) -> Column:
-    numbers = F.regexp_extract_all(base, F.lit(r"\d+"), F.lit(0))
-    has_time = ~base.rlike(_DATE)
+def _local_seconds(base: Column) -> Column:
+    """Seconds from 1970 to the base time on the local clock; null when unreadable."""
+    numbers = F.regexp_extract_all(F.regexp_extract(base, _READABLE, 0), F.lit(r"\d+"), F.lit(0))
 
     def number(index: int) -> Column:
-        value = F.get(numbers, F.lit(index)).try_cast("int")
-        return value if index < 3 else F.when(has_time, value).otherwise(F.lit(0))
+        return F.get(numbers, F.lit(index)).try_cast("int")
 
     # Year, then months, days and time added one after another: this is what rolls over.
     month = F.add_months(F.make_date(number(0), F.lit(1), F.lit(1)), number(1) - 1)
-    day = F.date_add(month, number(2) - 1).cast("timestamp_ntz")
-    time = F.make_dt_interval(F.lit(0), number(3), number(4), number(5))
-    return F.when(base.rlike(_DATE) | base.rlike(_DATE_TIME), day + time)
+    days = F.unix_date(F.date_add(month, number(2) - 1)).cast("bigint")
+    hour, minute, second = (F.coalesce(number(i), F.lit(0)).cast("bigint") for i in (3, 4, 5))
+    return days * 86_400 + hour * 3_600 + minute * 60 + second

@@ -18,12 +18,14 @@ MAX_SEGMENT_BYTES = 255
 MAX_KEY_BYTES = 4095
 
 
-def _one_byte(number: Column) -> Column:
-    return F.unhex(F.lpad(F.hex(number.cast("bigint")), 2, "0"))
+def _number_bytes(number: Column, width: int) -> Column:
+    """A non-negative number as ``width`` bytes, the highest first."""
+    return F.unhex(F.lpad(F.hex(number.cast("bigint")), 2 * width, "0"))
 
 
-def _bytes(value: Column, data_type: T.DataType | None = None) -> Column:
-    return value if isinstance(data_type, T.BinaryType) else F.encode(value.cast("string"), "UTF-8")
+def _as_bytes(value: Column, data_type: T.DataType | None = None) -> Column:
+    # Text is UTF-8 inside Spark, so this cast copies bytes and encodes nothing.
+    return value if isinstance(data_type, T.BinaryType) else value.cast("string").cast("binary")
 
 
 def encode_key(segment: Column, store_type: Column, key: Column, member: Column | None = None,
@@ -32,14 +34,15 @@ def encode_key(segment: Column, store_type: Column, key: Column, member: Column
 
     ``key_type`` and ``member_type`` tell binary input, which is taken as it is.
     """
-    segment_bytes, key_bytes = _bytes(segment), _bytes(key, key_type)
+    segment_bytes, key_bytes = _as_bytes(segment), _as_bytes(key, key_type)
     segment_length, key_length = F.octet_length(segment_bytes), F.octet_length(key_bytes)
     kind = store_type.cast("int").bitwiseAND(F.lit(0x0F))
-    low = key_length.bitwiseAND(F.lit(0xFF))
-    high = F.shiftleft(kind, 4).bitwiseOR(F.shiftright(key_length, 8))
-    parts = [_one_byte(segment_length), segment_bytes, _one_byte(low), _one_byte(high), key_bytes]
+    # Low byte of the length first, then the type above the length's high bits.
+    flags = (F.shiftleft(key_length.bitwiseAND(F.lit(0xFF)), 8)
+             .bitwiseOR(F.shiftleft(kind, 4)).bitwiseOR(F.shiftright(key_length, 8)))
+    parts = [_number_bytes(segment_length, 1), segment_bytes, _number_bytes(flags, 2), key_bytes]
     if member is not None:
-        parts.append(F.coalesce(_bytes(member, member_type), F.lit(b"")))
+        parts.append(F.coalesce(_as_bytes(member, member_type), F.lit(b"")))
 
     def refuse(message: str) -> Column:
         return F.raise_error(F.lit(message)).cast("binary")

@@ -205,7 +205,7 @@ def encoded_pairs(df: DataFrame, segment: str, *, keep: Sequence[str] = ()) -> D
     member = column("member") if "member" in types else None
     value = column("value")
     if not isinstance(types["value"], T.BinaryType):
-        value = F.encode(value.cast("string"), "UTF-8")
+        value = value.cast("string").cast("binary")
     key = encode_key(F.lit(segment), store_type, column("key"), member,
                      types["key"], types.get("member"))
     return df.select(key.alias("key_bytes"), value.alias("value_bytes"),

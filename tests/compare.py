@@ -34,6 +34,11 @@ def normal(columns, rows):
     return [columns[i] for i in order], sorted(shaped, key=repr)
 
 
+def value_types(columns, rows):
+    """The Python types each column's values have, null aside."""
+    return {name: {type(row[i]) for row in rows} - {type(None)} for i, name in enumerate(columns)}
+
+
 def spark_result(df):
     return normal(df.columns, [tuple(r) for r in df.collect()])
 

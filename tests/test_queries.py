@@ -2,7 +2,7 @@
 
 import pytest
 
-from compare import TABLES_DIR, duck, duck_result, spark_result
+from compare import TABLES_DIR, duck, duck_result, spark_result, value_types
 from tableflow.queries import ORACLES, QUERIES
 
 
@@ -13,6 +13,7 @@ def test_query_equals_sql(spark, name):
     assert columns == wanted_columns
     assert len(rows) == len(wanted)
     assert rows == wanted
+    assert value_types(columns, rows) == value_types(columns, wanted)
 
 
 def test_preview_returns_any_rows(spark):
