@@ -1,0 +1,75 @@
+"""The physical plans the operators lead to."""
+
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from compare import TABLES_DIR
+from tableflow.functions.expiry import expire_at_ms
+from tableflow.functions.keycodec import decode_key
+from tableflow.operators.projection import project
+from tableflow.operators.report import report_lines
+from tableflow.queries import QUERIES
+from tableflow.queries.registry import col, load
+from tableflow.sinks.keyvalue import encoded_pairs, one_row_per_key, upsert_rows, with_shard
+
+
+def plan(df):
+    return df._jdf.queryExecution().explainString(
+        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+
+
+@pytest.mark.parametrize("name, pushed, schema", [
+    ("q_filter_eq", "EqualTo(l_quantity,17.0)", "l_orderkey l_partkey l_linenumber l_quantity"),
+    ("q_filter_lt", "LessThan(o_orderdate,1996-01-01T00:00)", "o_orderkey o_custkey o_orderdate"),
+    ("q_filter_ne", "Not(EqualTo(o_orderstatus,F))", "o_orderkey o_custkey o_orderstatus"),
+    ("q_filter_le", "LessThanOrEqual(l_quantity,10.0)", "l_orderkey l_partkey l_linenumber l_quantity"),
+    ("q_filter_raw_then_transform", "StringStartsWith(p_brand,Brand#1)", "p_partkey p_brand"),
+])
+def test_filters_and_columns_reach_the_scan(spark, name, pushed, schema):
+    text = plan(QUERIES[name](spark, TABLES_DIR))
+    assert pushed in text
+    assert re.findall(r"(\w+):", re.search(r"ReadSchema: struct<(.*)>", text).group(1)) == schema.split()
+
+
+def test_partition_filter_prunes(spark):
+    text = plan(QUERIES["q_filter_partition"](spark, TABLES_DIR))
+    assert re.search(r"PartitionFilters: \[.*o_orderstatus#\d+ = F", text)
+    assert "Exchange" not in text
+
+
+@pytest.mark.parametrize("name", [n for n in QUERIES if n.startswith(("q_project", "q_fn", "q_filter"))])
+def test_column_work_is_one_stage_of_native_code(spark, name):
+    text = plan(QUERIES[name](spark, TABLES_DIR))
+    assert "Exchange" not in text and "Python" not in text and "ArrowEval" not in text
+
+
+def test_keys_expiry_and_report_lines_stay_native(spark):
+    orders = load(spark, TABLES_DIR, "orders")
+    rows = orders.selectExpr("cast(o_custkey as string) key", "o_orderpriority value")
+    pairs = encoded_pairs(with_shard(rows, 8), "s", keep=["shard_id"])
+    text = (F.date_format("o_orderdate", "yyyy-MM-dd"))
+    for df in (pairs, pairs.select(decode_key(F.col("key_bytes"))), report_lines(orders),
+               orders.select(expire_at_ms(text, 1, "day"))):
+        assert "Exchange" not in plan(df) and "Python" not in plan(df)
+        assert "* Project" in plan(df)
+
+
+def test_common_expiry_is_a_constant(spark):
+    rows = spark.range(5).selectExpr("id as key", "id as value")
+    text = plan(upsert_rows(rows, set_ttl=True, interval=1, unit="hour", zone="UTC",
+                            current_time="2024-01-01 00:00:00"))
+    assert str(1704067200000 + 3_600_000) in text and "regexp" not in text
+
+
+def test_repeated_keys_are_combined_before_the_shuffle(spark):
+    rows = spark.range(5).selectExpr("id as key", "id as value")
+    text = plan(one_row_per_key(upsert_rows(rows, set_ttl=False)))
+    assert text.count("Exchange") >= 1 and "partial_max" in text
+
+
+def test_job_projection_reads_only_configured_columns(spark):
+    df = project(load(spark, TABLES_DIR, "lineitem"), [
+        col("l_orderkey", "bigint"), col("l_shipdate", "string", ("substr", "1", "10"))])
+    assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in plan(df)
