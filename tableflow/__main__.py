@@ -1,7 +1,7 @@
 """Run jobs from the command line: ``python -m tableflow <kind> <file>``, or this file with
 ``spark-submit --py-files``.
 
-The file holds JSON: a job or a list of jobs for ``export``, one job for ``import``, and the
+The file holds JSON: a job or a list of jobs for ``export`` and ``create``, one job for ``import``, and the
 named arguments of the job for all other kinds.
 """
 
@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from tableflow.plans.csvload import csv_load
 from tableflow.plans.dbimport import import_job
-from tableflow.plans.export import ExportSettings, export_jobs
+from tableflow.plans.export import ExportSettings, create_target, export_jobs
 from tableflow.plans.kvload import backup_export_job, shard_export_job, upsert_job
 from tableflow.plans.migrate import migrate
 from tableflow.plans.report import report_job
@@ -28,6 +28,9 @@ KINDS = {"csv-load": csv_load, "migrate": migrate, "kv-export": shard_export_job
 def run(spark: SparkSession, kind: str, text: str, settings: ExportSettings) -> None:
     if kind == "export":
         export_jobs(spark, JobSpec.list_from_json(text), settings)
+    elif kind == "create":
+        for job in JobSpec.list_from_json(text):
+            create_target(spark, job, settings)
     elif kind == "import":
         import_job(spark, JobSpec.from_dict(json.loads(text)))
     else:
@@ -39,7 +42,7 @@ def run(spark: SparkSession, kind: str, text: str, settings: ExportSettings) ->
 
 def main(argv: Sequence[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tableflow")
-    parser.add_argument("kind", choices=["export", "import", *KINDS])
+    parser.add_argument("kind", choices=["create", "export", "import", *KINDS])
     parser.add_argument("file", help="JSON file with the job or its arguments")
     parser.add_argument("--create", action="store_true", help="create export targets first")
     parser.add_argument("--provider", default="parquet", help="table format of created targets")

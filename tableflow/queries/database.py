@@ -32,7 +32,11 @@ _loaded: dict[tuple[str, str, str], str] = {}
 
 
 def _database(spark) -> tuple[Connection, str]:
-    url = spark.conf.get(_PREFIX + "url", "") or "jdbc:derby:memory:tableflow;create=true"
+    url = spark.conf.get(_PREFIX + "url", "")
+    if not url:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"set {_PREFIX}url to a database that all executors reach")
+        url = "jdbc:derby:memory:tableflow;create=true"
     return (Connection(url, spark.conf.get(_PREFIX + "user", "") or "",
                        spark.conf.get(_PREFIX + "password", "") or "",
                        options={"preferTimestampNTZ": "true"}),

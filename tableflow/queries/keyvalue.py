@@ -201,7 +201,7 @@ def q_kv_null_sentinel(spark, sf_dir):
                  epoch_ms(o_orderdate - interval 90 second) as seconds_ms
           from orders""")
 def q_kv_expire_at(spark, sf_dir):
-    day, second = (F.date_format("o_orderdate", p) for p in ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"))
+    day, second = (F.col("o_orderdate").cast(t).cast("string") for t in ("date", "timestamp_ntz"))
     return load(spark, sf_dir, "orders").select(
         "o_orderkey", expire_at_ms(day, 7, "day", "UTC").alias("week_ms"),
         expire_at_ms(second, 36, "hour", "UTC").alias("hours_ms"),
@@ -216,7 +216,7 @@ def q_kv_expire_at(spark, sf_dir):
 def q_kv_ttl_upsert(spark, sf_dir):
     path, orders = scratch_dir(spark, "store"), view(spark, sf_dir, "orders")
     upsert_job(spark, f"""select o_custkey as key, o_orderkey as value,
-                                 date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') as ttl
+                                 cast(o_orderdate as string) as ttl
                           from {orders}""",
                "tableflow.sinks.keyvalue:FolderClient", client_options={"path": path},
                set_ttl=True, interval=30, unit="day", zone="UTC")

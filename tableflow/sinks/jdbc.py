@@ -14,6 +14,8 @@ from tableflow.sources.jdbc import Connection
 from tableflow.spec import ColumnSpec, PartitionSpec, SpecError
 
 BATCH_SIZE_CONF = "spark.tableflow.jdbc.batchsize"
+WRITERS_CONF = "spark.tableflow.jdbc.writers"
+STAGING_ATTEMPTS = 3
 
 
 @dataclass(frozen=True)
@@ -123,22 +125,34 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
 
     Staged (the default where the database can): rows go to an empty copy of the table, are
     counted there, and take the place of the old ones in one transaction. A lost executor
-    or a repeated task can then neither leave the partition empty nor double its rows.
+    or a repeated task can then neither leave the partition empty nor double its rows: a
+    load that does not hold what was written is thrown away and repeated.
     Directly: delete, then append; a failure in between has to be answered by a new run.
     """
     spark, kind = df.sparkSession, dialect(db_type)
     batch = batch_size or int(spark.conf.get(BATCH_SIZE_CONF, "") or kind.batch_size)
-    rows = limit_writers(df, writers or kind.writers)
+    rows = limit_writers(df, writers or int(spark.conf.get(WRITERS_CONF, "") or kind.writers or 0))
     clear = clear_statement(db_type, table, spec, lambda name: connection.quote(spark, name))
     if staged is None:
         staged = bool(kind.staging)
+    if staged and not kind.staging:
+        raise SpecError(f"{db_type} cannot swap a staged load")
     if not staged:
         if clear:
             execute(spark, connection, [clear])
         append(rows, connection, table, batch)
         return
-    if not kind.staging:
-        raise SpecError(f"{db_type} cannot swap a staged load")
+    for _ in range(STAGING_ATTEMPTS):
+        if _staged_load(rows, connection, kind, table, clear, batch):
+            return
+    raise RuntimeError(f"{STAGING_ATTEMPTS} staged loads did not hold the rows that were written; "
+                       f"{table} is unchanged")
+
+
+def _staged_load(rows: DataFrame, connection: Connection, kind: Dialect, table: str,
+                 clear: tuple[str, list[str]] | None, batch: int) -> bool:
+    """Load, count and swap in; False, with the table unchanged, when the count is wrong."""
+    spark = rows.sparkSession
     staging = unique(table.replace('"', "").replace("`", "") + "_staging")
     names = ", ".join(connection.quote(spark, n) for n in rows.columns)
     execute(spark, connection, [(kind.staging.format(staging=staging, table=table), [])])
@@ -149,11 +163,11 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
         stored = connection.reader(spark).option(
             "query", f"select count(*) as n from {staging}").load().first()[0]
         if stored != written.get["rows"]:
-            raise RuntimeError(f"{staging} holds {stored} rows instead of {written.get['rows']}; "
-                               f"{table} is unchanged")
+            return False
         swap = [clear] if clear else []
         swap.append((f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", []))
         execute(spark, connection, swap)
+        return True
     finally:
         execute(spark, connection, [(f"DROP TABLE {staging}", [])])
 

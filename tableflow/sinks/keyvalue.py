@@ -141,7 +141,8 @@ class FolderClient(StoreClient):
 
 
 def _as_uri(path: str) -> str:
-    return path if ":/" in path else f"file://{path}"
+    path = path.removeprefix("file:") if path.startswith("file:/") else path
+    return path if "://" in path else "file://" + "/" + path.lstrip("/")
 
 
 @dataclass

@@ -30,6 +30,10 @@ def test_export_from_a_database(spark, tmp_path):
                         "funcs": [{"funcName": "filter", "funcParams": [">=", "2"]}]},
                        {"columnName": "v", "columnType": "varchar(9)", "dataType": "VARCHAR",
                         "funcs": [{"funcName": "pad", "funcParams": ["L", "3", "-"]}]}]}
+    run(tmp_path, "create", {**job, "addColumns": [{"columnName": "w", "columnType": "int"}]},
+        "--catalog", "region=")
+    assert spark.table(table).columns == ["id", "v", "w", "dt"]
+    spark.sql(f"drop table {table}")
     run(tmp_path, "export", job, "--create", "--catalog", "region=", "--static", "region")
     run(tmp_path, "export", [job], "--catalog", "region=")
     assert content(spark, table) == [(2, "-bb", "d1"), (3, "-cc", "d1")]

@@ -77,8 +77,10 @@ def test_session_settings_refine_the_scan(spark):
             spark.conf.set(prefix + key, value)
         df = read_source(spark, CONNECTION, table)
         assert df.rdd.getNumPartitions() == 5 and df.count() == 100
+        spark.conf.set(prefix + "balanceBy", "id")
+        assert read_source(spark, CONNECTION, table).count() == 100
     finally:
-        for key in settings:
+        for key in (*settings, "balanceBy"):
             spark.conf.unset(prefix + key)
 
 
@@ -184,18 +186,25 @@ def test_failed_load_leaves_the_partition_alone(spark, target):
     assert tables.filter(F.lower("tablename").startswith(target + "_staging")).count() == 0
 
 
-def test_doubled_rows_are_noticed_before_the_swap(spark, target, monkeypatch):
+@pytest.mark.parametrize("bad_loads", [1, 3])
+def test_a_doubled_load_is_repeated_and_never_swapped_in(spark, target, monkeypatch, bad_loads):
     replace_partition(rows(spark, (1, "a")), CONNECTION, "derby", target, DT)
-    once = sink.append
+    once, loads = sink.append, []
 
-    def twice(df, connection, table, batch_size):
+    def doubling(df, connection, table, batch_size):
         once(df, connection, table, batch_size)
-        execute(spark, connection, [(f"INSERT INTO {table} SELECT * FROM {table}", [])])
+        loads.append(table)
+        if len(loads) <= bad_loads:
+            execute(spark, connection, [(f"INSERT INTO {table} SELECT * FROM {table}", [])])
 
-    monkeypatch.setattr(sink, "append", twice)
-    with pytest.raises(RuntimeError, match="holds 2 rows instead of 1"):
+    monkeypatch.setattr(sink, "append", doubling)
+    if bad_loads < 3:
         replace_partition(rows(spark, (5, "e")), CONNECTION, "derby", target, DT)
-    assert content(spark, target) == [(1, "a", "d1")]
+        assert content(spark, target) == [(5, "e", "d1")] and len(loads) == 2
+    else:
+        with pytest.raises(RuntimeError, match="is unchanged"):
+            replace_partition(rows(spark, (5, "e")), CONNECTION, "derby", target, DT)
+        assert content(spark, target) == [(1, "a", "d1")]
 
 
 def test_staging_is_refused_where_there_is_no_transaction(spark):

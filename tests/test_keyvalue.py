@@ -5,6 +5,8 @@ import zoneinfo
 
 import pyarrow.parquet as pq
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -252,3 +254,19 @@ def test_table_to_backup_to_records(spark, tmp_path):
     assert bulk_pairs(spark, "seg", path=source).count() == 2
     with pytest.raises(SpecError):
         bulk_pairs(spark, "seg")
+
+
+CHARS = st.characters(exclude_categories=["Cs"])
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(
+    st.text(CHARS, max_size=60).filter(lambda s: len(s.encode()) < 256), st.integers(0, 15),
+    st.text(CHARS, max_size=300), st.text(CHARS, max_size=40)), min_size=1, max_size=40))
+def test_decoding_gives_back_what_was_encoded(spark, entries):
+    df = spark.createDataFrame(entries, "segment string, storeType int, key string, member string")
+    back = df.select(decode_key(encoded(df)).alias("d")).select("d.*").collect()
+    assert [tuple(r) for r in back] == entries
+    # The order of encoded keys is the order of their bytes.
+    ordered = df.select(encoded(df).alias("k")).sort("k").collect()
+    assert [bytes(r.k) for r in ordered] == sorted(bytes(r.k) for r in ordered)
