@@ -19,7 +19,7 @@ def bulk_pairs(spark: SparkSession, segment: str, *, table: str = "", path: str
 
 def shard_export_job(spark: SparkSession, segment: str, output: str, *, table: str = "",
                      path: str = "", spec: PartitionSpec | None = None, shards: int = 32,
-                     layout: str = "ranges", unique_keys: bool = True) -> None:
+                     tasks: int | None = None, unique_keys: bool = True) -> None:
     """Encode a table (or parquet files with differing columns), shard and sort it, and
     replace the output folder. ``ttl`` and ``score`` columns travel with the pairs."""
     df = read_table_or_parquet(spark, table, path, spec, merge_schema=True)
@@ -29,7 +29,7 @@ def shard_export_job(spark: SparkSession, segment: str, output: str, *, table: s
     carried = [n for n in ("ttl", "score") if n in df.columns]
     keyed = with_shard(df, shards, F.col("key"))
     pairs = encoded_pairs(keyed, segment, keep=["shard_id", *carried])
-    sharded_export(pairs, output, shards, layout=layout, unique_keys=unique_keys)
+    sharded_export(pairs, output, shards, tasks=tasks, unique_keys=unique_keys)
 
 
 def backup_export_job(spark: SparkSession, segment: str, path: str, output: str) -> None:

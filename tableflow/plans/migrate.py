@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 from tableflow.operators.projection import drop_partition_columns
 from tableflow.plans.ddl import create_like_ddl
-from tableflow.sinks.lake import full_overwrite, partition_columns, static_overwrite
+from tableflow.sinks.lake import full_overwrite, static_overwrite, table_layout
 from tableflow.sources.tables import read_table
 from tableflow.spec import PartitionSpec, SpecError
 
@@ -18,7 +18,7 @@ def migrate(spark: SparkSession, source: str, target: str, spec: PartitionSpec |
     if source == target:
         raise SpecError(f"source and target are both {source!r}")
     rows = read_table(spark, source, spec)
-    keys = partition_columns(spark, source) or (spec.keys if spec else [])
+    keys = table_layout(spark, source).partition_columns or (spec.keys if spec else [])
     spark.sql(create_like_ddl(target, spark.table(source).schema, keys,
                               provider=provider, location=location))
     if spec:

@@ -116,19 +116,19 @@ def _shard_summary(spark, path):
 
 @query(_SHARD_SUMMARY)
 def q_kv_shard_sort_export(spark, sf_dir):
-    path = scratch_dir(spark, "shards")
-    rows = with_shard(_order_rows(spark, sf_dir), 8)
-    sharded_export(encoded_pairs(rows, "orders", keep=["shard_id"]), path, 8)
-    return _shard_summary(spark, path)
-
-
-@query(_SHARD_SUMMARY)
-def q_kv_shard_single_file_export(spark, sf_dir):
     source, path = scratch_dir(spark, "rows"), scratch_dir(spark, "shards")
     # The value column may be spelled in any case, and the export replaces an old folder.
     _order_rows(spark, sf_dir).withColumnRenamed("value", "Value").write.parquet(source)
     for _ in range(2):
-        shard_export_job(spark, "orders", path, path=source, shards=8, layout="single")
+        shard_export_job(spark, "orders", path, path=source, shards=8)
+    return _shard_summary(spark, path)
+
+
+@query(_SHARD_SUMMARY)
+def q_kv_shard_range_export(spark, sf_dir):
+    path = scratch_dir(spark, "shards")
+    pairs = encoded_pairs(with_shard(_order_rows(spark, sf_dir), 8), "orders", keep=["shard_id"])
+    sharded_export(pairs, path, 8, tasks=3 * spark.sparkContext.defaultParallelism)
     return _shard_summary(spark, path)
 
 

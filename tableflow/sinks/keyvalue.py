@@ -22,6 +22,9 @@ from tableflow.spec import SpecError, column
 NULL_KEY = "NULl"
 NULL_VALUE = "NULL"
 
+# Shards up to this size are written as one file by one task.
+FILE_BYTES = 1 << 30
+
 
 # ---- upserts with expiry ---------------------------------------------------------------
 
@@ -235,28 +238,36 @@ def newest_per_key(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("key_bytes").agg(best).select("key_bytes", "best.*")
 
 
-def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *, layout: str = "ranges",
-                   tasks: int | None = None, unique_keys: bool = True) -> None:
+def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *,
+                   file_bytes: int = FILE_BYTES, tasks: int | None = None,
+                   unique_keys: bool = True) -> None:
     """Write pairs that carry ``shard_id`` to one folder per shard, sorted by key bytes.
 
-    ``ranges`` cuts all pairs into even, ordered runs of (shard, key), so a shard or key that
-    holds much of the data is spread over several tasks and files; the files of a shard follow
-    each other in key order. ``single`` writes exactly one file per shard, in one task each:
-    for stores that want that and shards that are even. ``unique_keys=False`` first reduces
-    repeated keys to one pair.
+    The shards are measured first. While each fits ``file_bytes``, a shard is one file, written
+    by one task. Otherwise all pairs are cut into even, ordered runs of (shard, key): a shard or
+    key that holds much of the data is then spread over tasks and files, and the files of a
+    shard follow each other in key order. ``tasks`` asks for that many runs without measuring.
+    ``unique_keys=False`` first reduces repeated keys to one pair.
     """
     if not unique_keys:
         pairs = newest_per_key(pairs)
-    if layout == "single":
+    if tasks is None:
+        sizes = shard_sizes(pairs)
+        if max(sizes.values(), default=0) > file_bytes:
+            tasks = max(shards, -(-sum(sizes.values()) // file_bytes))
+    if tasks is None:
         placed = pairs.repartitionById(shards, F.col("shard_id"))
-    elif layout == "ranges":
-        spark = pairs.sparkSession
-        count = tasks or max(shards, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
         # The input partition breaks ties between copies of one pair. It depends on where a
         # row comes from, not on row order, so a repeated task places its rows as before.
         placed = (pairs.withColumn("_origin", F.spark_partition_id())
-                  .repartitionByRange(count, "shard_id", "key_bytes", "_origin").drop("_origin"))
-    else:
-        raise SpecError(f"layout must be 'ranges' or 'single', got {layout!r}")
+                  .repartitionByRange(tasks, "shard_id", "key_bytes", "_origin").drop("_origin"))
     (placed.sortWithinPartitions("shard_id", "key_bytes")
      .write.mode("overwrite").partitionBy("shard_id").parquet(path))
+
+
+def shard_sizes(pairs: DataFrame) -> dict[int, int]:
+    """Bytes per shard; one row per shard comes to the driver."""
+    size = F.octet_length("key_bytes") + F.coalesce(F.octet_length("value_bytes"), F.lit(0))
+    sums = pairs.groupBy("shard_id").agg(F.sum(size.cast("bigint")).alias("bytes"))
+    return {row["shard_id"]: row["bytes"] for row in sums.collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,11 +21,12 @@ def static_overwrite(df: DataFrame, table: str, spec: PartitionSpec) -> None:
         raise SpecError("a static partition overwrite needs a partition spec")
     spark = df.sparkSession
     rows = in_target_order(df, target_columns(spark, table, spec), allow_extra=True)
-    if not _is_file_table(spark, table):
+    layout = table_layout(spark, table)
+    if not layout.is_file_table:
         add_literals(rows, spec).writeTo(table).overwrite(spec.predicate())
         return
     given = {k.lower() for k in spec.keys}
-    free = [quoted(k) for k in partition_columns(spark, table) if k.lower() not in given]
+    free = [quoted(k) for k in layout.partition_columns if k.lower() not in given]
     _insert_overwrite(rows, table, "static", f"PARTITION ({', '.join([spec.sql(), *free])})")
 
 
@@ -31,7 +34,7 @@ def full_overwrite(df: DataFrame, table: str) -> None:
     """Replace the whole table."""
     spark = df.sparkSession
     rows = in_target_order(df, target_columns(spark, table), allow_extra=True)
-    if _is_file_table(spark, table):
+    if table_layout(spark, table).is_file_table:
         _insert_overwrite(rows, table, "static")
     else:
         rows.writeTo(table).overwrite(F.lit(True))
@@ -44,7 +47,7 @@ def dynamic_overwrite(df: DataFrame, table: str, spec: PartitionSpec | None = No
     """
     spark = df.sparkSession
     rows = in_target_order(add_literals(df, spec or PartitionSpec()), target_columns(spark, table))
-    if _is_file_table(spark, table):
+    if table_layout(spark, table).is_file_table:
         _insert_overwrite(rows, table, "dynamic")
     else:
         rows.writeTo(table).overwritePartitions()
@@ -57,10 +60,23 @@ def _insert_overwrite(rows: DataFrame, table: str, mode: str, partition: str = "
         "BY NAME SELECT * FROM {rows}", rows=rows)
 
 
-def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+@dataclass(frozen=True)
+class TableLayout:
+    """What a write has to know about its target."""
+
+    partition_columns: list[str]
+    is_file_table: bool
 
 
-def _is_file_table(spark: SparkSession, table: str) -> bool:
-    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Provider'").first()
-    return detail is not None and (detail["data_type"] or "").lower() in _FILE_PROVIDERS
+def table_layout(spark: SparkSession, table: str) -> TableLayout:
+    """Partition columns and kind of a table, out of one metadata statement."""
+    keys, provider, in_partitions = [], "", False
+    for name, value, _ in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
+        if name.startswith("#") or not name:
+            # Section titles; the names of the columns of a section start with # as well.
+            in_partitions = name == "# Partition Information" or in_partitions and name == "# col_name"
+        elif in_partitions:
+            keys.append(name)
+        elif name == "Provider":
+            provider = (value or "").lower()
+    return TableLayout(keys, provider in _FILE_PROVIDERS)

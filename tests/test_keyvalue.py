@@ -14,7 +14,7 @@ from tableflow.functions.expiry import expire_at_ms, unreadable
 from tableflow.functions.keycodec import decode_key, encode_key, in_segment, shard_id
 from tableflow.plans.kvload import backup_export_job, bulk_pairs, shard_export_job
 from tableflow.sinks.keyvalue import (
-    check_upsert_contract, encoded_pairs, one_row_per_key, sharded_export, upsert, upsert_rows,
+    check_upsert_contract, encoded_pairs, one_row_per_key, shard_sizes, sharded_export, upsert, upsert_rows,
     value_column, with_shard)
 from tableflow.sources.keyvalue import decode_pairs, read_backup
 from tableflow.spec import SpecError
@@ -196,10 +196,12 @@ def skewed(spark):
         "if(id % 3 = 1, 'same', cast(id as string)) as value", "4 as type")
 
 
-def test_range_layout_splits_hot_keys_and_copies(spark, tmp_path):
+@pytest.mark.parametrize("choice", [{"tasks": 12}, {"file_bytes": 37_000}])
+def test_ranges_split_hot_keys_and_copies(spark, tmp_path, choice):
     df = skewed(spark)
     pairs = encoded_pairs(with_shard(df, 4), "s", keep=["shard_id"])
-    sharded_export(pairs, str(tmp_path / "out"), 4, tasks=12)
+    assert 11 * 37_000 < sum(shard_sizes(pairs).values()) <= 12 * 37_000
+    sharded_export(pairs, str(tmp_path / "out"), 4, **choice)
     shards = shard_files(tmp_path / "out")
     keys = [k for files in shards.values() for f in files for k in f]
     assert sorted(keys) == sorted(bytes(r[0]) for r in pairs.select("key_bytes").collect())
@@ -210,10 +212,10 @@ def test_range_layout_splits_hot_keys_and_copies(spark, tmp_path):
     assert max(len(f) for files in shards.values() for f in files) < 2.5 * 30_000 / 12
 
 
-def test_single_layout_gives_one_file_per_shard(spark, tmp_path):
+def test_shards_that_fit_are_one_file_each(spark, tmp_path):
     df = skewed(spark).filter("key like 'k%'")
     pairs = encoded_pairs(with_shard(df, 5), "s", keep=["shard_id"])
-    sharded_export(pairs, str(tmp_path / "out"), 5, layout="single")
+    sharded_export(pairs, str(tmp_path / "out"), 5)
     shards = shard_files(tmp_path / "out")
     assert sorted(shards) == [0, 1, 2, 3, 4]
     assert all(len(files) == 1 and files[0] == sorted(files[0]) for files in shards.values())
@@ -233,8 +235,6 @@ def test_export_settings_are_checked(spark):
     df = skewed(spark)
     with pytest.raises(SpecError):
         with_shard(df, 0)
-    with pytest.raises(SpecError):
-        sharded_export(df, "unused", 4, layout="other")
     with pytest.raises(SpecError):
         value_column(df.drop("value"))
     assert value_column(df.withColumnRenamed("value", "VALUE")).name == "VALUE"

@@ -13,7 +13,7 @@ from tableflow.queries.registry import col
 from tableflow.scratch import scratch_dir, unique
 from tableflow.sinks.files import options_from_conf
 from tableflow.sinks.lake import (
-    dynamic_overwrite, full_overwrite, partition_columns, static_overwrite)
+    dynamic_overwrite, full_overwrite, static_overwrite, table_layout)
 from tableflow.sources.csvfiles import read_csv_like_table
 from tableflow.sources.tables import read_sql, read_table, target_columns
 from tableflow.spec import ColumnSpec, JobSpec, PartitionSpec, SpecError
@@ -82,7 +82,7 @@ def test_static_overwrite_of_a_partition_prefix(spark):
     dynamic_overwrite(rows, table)
     static_overwrite(spark.createDataFrame([(9, "h3")], "a int, hr string"), table, D1)
     assert content(spark, table) == [(3, "d2", "h1"), (9, "d1", "h3")]
-    assert partition_columns(spark, table) == ["dt", "hr"]
+    assert table_layout(spark, table).partition_columns == ["dt", "hr"]
 
 
 def test_wrong_columns_are_refused(spark, base):
@@ -111,6 +111,7 @@ def test_targets_of_the_v2_writer(spark):
     full_overwrite(spark.createDataFrame([(2, 1)], "b int, a int"), "embedded.APP.t")
     full_overwrite(spark.createDataFrame([(4, 3), (6, 5)], "b int, a int"), "embedded.APP.t")
     assert content(spark, "embedded.APP.t") == [(3, 4), (5, 6)]
+    assert not table_layout(spark, "embedded.APP.t").is_file_table
 
 
 # ---- DDL -------------------------------------------------------------------------------
