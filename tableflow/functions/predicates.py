@@ -36,6 +36,9 @@ def predicate(spec: ColumnSpec, func: FuncSpec, actual: T.DataType, escaped: boo
         return ~matched if func.operator == "not like" else matched
     compare = _COMPARE[func.operator]
     if spec.source_type.strip().upper() in NUMERIC_SOURCE_TYPES:
+        if escaped and not _NUMBER.fullmatch(value.strip()):
+            # Generated SQL took this text as it is, so it may be any expression.
+            return compare(raw, F.expr(value))
         return _compare_number(compare, raw, _number(value), actual)
     literal = parameter(value, escaped)
     if not isinstance(actual, T.StringType):

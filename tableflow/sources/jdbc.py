@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 
+from tableflow.sinks.files import options_from_conf
 from tableflow.spec import JobSpec, SpecError, secret
 
 # URL scheme to JDBC driver class, and the split rule.
@@ -44,7 +45,8 @@ class Connection:
     def of(cls, spark: SparkSession, job: JobSpec, driver: str = "") -> Connection:
         job.require("connection_url")
         return cls(job.connection_url, job.db_user, secret(spark, job.db_password),
-                   driver or driver_for(job.connection_url))
+                   driver or driver_for(job.connection_url),
+                   options_from_conf(spark, [CONF_PREFIX + "option."], CONF_PREFIX + "option."))
 
     def jdbc_options(self) -> dict[str, str]:
         options = {"url": self.url, "driver": self.driver or driver_for(self.url), **self.options}

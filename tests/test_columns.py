@@ -121,6 +121,11 @@ def test_numeric_filter_refuses_other_text(raw):
         project(raw, [col("id", "int", ("filter", "=", "1 or 1=1"), source="INT")])
 
 
+def test_numeric_filter_may_be_an_expression_in_escaped_descriptions(raw):
+    spec = col("id", "int", ("filter", "<", "length(name) + 2"), source="INT")
+    assert values(project(raw, [spec], escaped=True), "id") == [1, 4]
+
+
 def test_numeric_like_works_on_text(raw):
     for op, ids in (("like", [1]), ("not like", [2, 3, 4, 5])):
         out = project(raw, [col("id", "int", ("filter", op, "1%"), source="INT")])

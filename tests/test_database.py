@@ -42,6 +42,18 @@ def test_drivers():
     assert "secret" not in repr(Connection("jdbc:mysql://h/d", "u", "secret"))
 
 
+def test_connection_of_a_job(spark, monkeypatch):
+    monkeypatch.setenv("TF_TEST_SECRET", "s3cret")
+    spark.conf.set("spark.tableflow.jdbc.option.fetchsize", "77")
+    try:
+        found = Connection.of(spark, JobSpec(target_table="t", connection_url="jdbc:mysql://h/d",
+                                             db_user="u", db_password="env:TF_TEST_SECRET"))
+    finally:
+        spark.conf.unset("spark.tableflow.jdbc.option.fetchsize")
+    assert found.jdbc_options() == {"url": "jdbc:mysql://h/d", "driver": "com.mysql.jdbc.Driver",
+                                    "user": "u", "password": "s3cret", "fetchsize": "77"}
+
+
 @pytest.mark.parametrize("low, high, splits", [
     (0, 4999, 1), (0, 5000, 2), (7, 7, 1), (0, 5_000_000, 1000), (-5000, 5000, 3)])
 def test_split_count(low, high, splits):

@@ -154,10 +154,11 @@ def test_upsert_rows(spark):
 CLIENT = "tableflow.sinks.keyvalue:FolderClient"
 
 
-def test_repeated_keys_have_one_winner(spark, tmp_path):
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_repeated_keys_have_one_winner(spark, tmp_path, scheme):
     df = spark.range(20_000).selectExpr("if(id % 3 = 0, 'hot', cast(id as string)) as key",
                                         "id % 100 as value", "'2024-01-01' as ttl")
-    path = str(tmp_path / "store")
+    path = scheme + str(tmp_path / "store")
     upsert(df, CLIENT, client_options={"path": path}, set_ttl=True, interval=1, unit="day", zone="UTC")
     stored = rows_of(spark.read.parquet(path))
     assert len(stored) == 20_000 - 6_667 + 1
