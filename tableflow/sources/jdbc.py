@@ -6,6 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import types as T
 
 from tableflow.sinks.files import options_from_conf
 from tableflow.spec import JobSpec, SpecError, secret
@@ -116,9 +117,12 @@ def split_scan(spark: SparkSession, connection: Connection, table: str, split_co
 
 def read_source(spark: SparkSession, connection: Connection, table: str,
                 primary_key: str = "") -> DataFrame:
-    """Scan as the session asks: ``spark.tableflow.jdbc.partitionColumn`` or the job's key
-    splits the scan; ``lowerBound``, ``upperBound``, ``numPartitions`` and ``balanceBy``
-    under the same prefix refine it."""
+    """Scan as the session's ``spark.tableflow.jdbc.`` settings ask.
+
+    ``partitionColumn``, or else the job's key, splits the scan; ``lowerBound``, ``upperBound``
+    and ``numPartitions`` refine it. ``balanced`` splits by row counts, with ``tieColumns`` to
+    cut single values that hold too many rows.
+    """
     def setting(name: str) -> str:
         return spark.conf.get(CONF_PREFIX + name, "") or ""
 
@@ -128,9 +132,9 @@ def read_source(spark: SparkSession, connection: Connection, table: str,
     split_column = setting("partitionColumn") or primary_key
     if not split_column:
         return scan(spark, connection, table)
-    if setting("balanceBy"):
-        tie_columns = [c.strip() for c in setting("balanceBy").split(",") if c.strip()]
-        return balanced_scan(spark, connection, table, [split_column, *tie_columns],
+    if setting("balanced").lower() == "true":
+        ties = [c.strip() for c in setting("tieColumns").split(",") if c.strip()]
+        return balanced_scan(spark, connection, table, [split_column, *ties],
                              splits=number("numPartitions"))
     return split_scan(spark, connection, table, split_column, lower=number("lowerBound"),
                       upper=number("upperBound"), splits=number("numPartitions"))
@@ -147,8 +151,12 @@ def balanced_scan(spark: SparkSession, connection: Connection, table: str,
     first = probe_split(spark, connection, table, columns[0])
     if first is None:
         return scan(spark, connection, table)
-    schema = scan(spark, connection, table)
-    names = [connection.quote(spark, _real_name(schema, c)) for c in columns]
+    found = scan(spark, connection, table)
+    real = [_real_name(found, c) for c in columns]
+    texts = [n for n in real if not isinstance(found.schema[n].dataType, T.NumericType)]
+    if texts:
+        raise SpecError(f"rows are balanced by whole numbers; {texts} are not")
+    names = [connection.quote(spark, n) for n in real]
     conditions = balanced_conditions(
         lambda query: _rows(spark, connection, query), table, names, splits or first.count)
     options = connection.jdbc_options()

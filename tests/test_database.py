@@ -89,10 +89,14 @@ def test_session_settings_refine_the_scan(spark):
             spark.conf.set(prefix + key, value)
         df = read_source(spark, CONNECTION, table)
         assert df.rdd.getNumPartitions() == 5 and df.count() == 100
-        spark.conf.set(prefix + "balanceBy", "id")
+        spark.conf.set(prefix + "balanced", "true")
+        spark.conf.set(prefix + "tieColumns", "v")
+        with pytest.raises(SpecError, match="whole numbers"):
+            read_source(spark, CONNECTION, table)
+        spark.conf.set(prefix + "tieColumns", "id")
         assert read_source(spark, CONNECTION, table).count() == 100
     finally:
-        for key in (*settings, "balanceBy"):
+        for key in (*settings, "balanced", "tieColumns"):
             spark.conf.unset(prefix + key)
 
 

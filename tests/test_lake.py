@@ -208,10 +208,11 @@ def test_export_list_keeps_partitions_apart(spark):
         export_job(spark, JobSpec(target_table="t", columns=columns))
 
 
-def test_new_source_columns_are_ignored(spark, base):
+def test_new_source_columns_are_ignored(spark, base, capsys):
     job = JobSpec(target_table=base, columns=(col("a", "int"), col("b", "string")), partitions=D1)
     wide = spark.createDataFrame([("new", 8, "w")], "c string, a int, b string")
-    export_job(spark, job, source=wide)
+    export_job(spark, job, ExportSettings(preview_rows=5), wide)
+    assert "|  8|  w|" in capsys.readouterr().out
     assert content(spark, base) == [(2, "y", "d2"), (8, "w", "d1")]
 
 
