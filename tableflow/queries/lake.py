@@ -8,7 +8,7 @@ from tableflow.operators.projection import in_target_order
 from tableflow.plans.ddl import add_columns, create_like_ddl, create_table
 from tableflow.plans.export import ExportSettings, export_job, export_jobs
 from tableflow.plans.migrate import migrate
-from tableflow.queries.registry import col, load, query
+from tableflow.queries.registry import load, query
 from tableflow.scratch import scratch_dir, unique
 from tableflow.sinks.lake import dynamic_overwrite, full_overwrite, static_overwrite
 from tableflow.sources.tables import target_columns

@@ -7,7 +7,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -27,6 +27,14 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{unique(name)}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows kept in the shared checkpoint folder, for a result that is read repeatedly."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
+    return df.checkpoint()
+
+
 def unique(name: str) -> str:
     """A name no other run uses, valid as a table or folder name."""
     return f"{name}_{uuid.uuid4().hex[:12]}"

@@ -15,7 +15,8 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 
 from tableflow.functions.expiry import expire_at_ms, unreadable
 from tableflow.functions.keycodec import encode_key, shard_id
-from tableflow.scratch import ship_package, unique
+from tableflow.operators.placement import limit_writers
+from tableflow.scratch import checkpointed, ship_package, unique
 from tableflow.spec import SpecError, column
 
 # What stands for a missing key and a missing value.
@@ -68,24 +69,26 @@ def upsert_rows(df: DataFrame, *, set_ttl: bool, interval: int = 0, unit: str =
 
 
 def one_row_per_key(rows: DataFrame) -> DataFrame:
-    """Keep one row per key: latest expiry, then greatest value. Rows are combined before the
-    shuffle, so that a key with very many copies costs one row per task."""
-    best = F.max(F.struct("expire_at_ms", "value"))
+    """Keep one row per key: latest expiry (never is the latest), then greatest value. Rows are
+    combined before the shuffle, so that a key with very many copies costs one row per task."""
+    until = F.coalesce("expire_at_ms", F.lit(2 ** 63 - 1)).alias("until")
+    best = F.max(F.struct(until, "value", "expire_at_ms"))
     return (rows.groupBy("key").agg(best.alias("best"), F.max("bad_ttl").alias("bad_ttl"))
             .select("key", "best.value", "best.expire_at_ms", "bad_ttl"))
 
 
 def upsert(df: DataFrame, client: str, *, client_options: dict[str, str] | None = None,
-           unique_keys: bool = False, **ttl) -> None:
+           unique_keys: bool = False, writers: int | None = None, **ttl) -> None:
     """Set every key of ``df`` in the store behind ``client``, given as ``module:Class``.
 
     Upserts may be repeated without harm, so lost executors only cost time. A row whose base
     time cannot be read deletes its key and fails the job. ``unique_keys`` promises distinct
-    keys and saves the shuffle that makes them so.
+    keys and saves the shuffle that makes them so; ``writers`` bounds the clients at work.
     """
     rows = upsert_rows(df, **ttl)
     if not unique_keys:
         rows = one_row_per_key(rows)
+    rows = limit_writers(rows, writers)
     ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(KeyValueStore)
     (rows.write.format(KeyValueStore.name()).mode("append")
@@ -122,7 +125,7 @@ class FolderClient(StoreClient):
         self.fs, self.folder = fs.FileSystem.from_uri(_as_uri(options["path"]))
         self.fs.create_dir(self.folder, recursive=True)
         self.file = f"{self.folder}/part-{task:05d}.parquet"
-        self.writer = None
+        self.stream = self.writer = None
         self.pending = f"{self.folder}/.{unique('pending')}"
 
     _SCHEMA = pa.schema([("key", pa.string()), ("value", pa.string()), ("expire_at_ms", pa.int64())])
@@ -130,7 +133,8 @@ class FolderClient(StoreClient):
     def put(self, keys, values, expire_at_ms):
         import pyarrow.parquet as pq
         if self.writer is None:
-            self.writer = pq.ParquetWriter(self.fs.open_output_stream(self.pending), self._SCHEMA)
+            self.stream = self.fs.open_output_stream(self.pending)
+            self.writer = pq.ParquetWriter(self.stream, self._SCHEMA)
         self.writer.write_table(pa.table([keys, values, expire_at_ms], schema=self._SCHEMA))
 
     def delete(self, key):
@@ -139,6 +143,7 @@ class FolderClient(StoreClient):
     def close(self, failed):
         if self.writer is not None:
             self.writer.close()
+            self.stream.close()
             if not failed:
                 self.fs.move(self.pending, self.file)
 
@@ -161,7 +166,7 @@ class KeyValueStore(DataSource):
         return "tableflow_kv"
 
     def writer(self, schema, overwrite):
-        return _StoreWriter(dict(self.options))
+        return _StoreWriter(self.options)
 
 
 class _StoreWriter(DataSourceArrowWriter):
@@ -250,7 +255,8 @@ def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *,
     ``unique_keys=False`` first reduces repeated keys to one pair.
     """
     if not unique_keys:
-        pairs = newest_per_key(pairs)
+        # Kept in the checkpoint folder: measuring, sampling and writing each read the pairs.
+        pairs = checkpointed(newest_per_key(pairs))
     if tasks is None:
         sizes = shard_sizes(pairs)
         if max(sizes.values(), default=0) > file_bytes:

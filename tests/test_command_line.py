@@ -57,6 +57,23 @@ def test_import_and_other_kinds(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(str(tmp_path / "report")).collect()) == ["4,x", "a,dt"]
 
 
+def test_key_value_kinds_and_migration(spark, tmp_path):
+    source, pairs, records, store = (str(tmp_path / n) for n in ("rows", "pairs", "records", "store"))
+    spark.createDataFrame([("k", "v")], "key string, value string").write.parquet(source)
+    run(tmp_path, "kv-export", {"segment": "s", "path": source, "output": pairs, "shards": 2})
+    run(tmp_path, "kv-records", {"segment": "s", "path": pairs, "output": records})
+    assert [(r.key, r.value) for r in spark.read.parquet(records).collect()] == [("k", "v")]
+    run(tmp_path, "kv-upsert", {
+        "sql": f"select * from parquet.`{source}`", "client": "tableflow.sinks.keyvalue:FolderClient",
+        "client_options": {"path": store}, "set_ttl": False})
+    assert [tuple(r) for r in spark.read.parquet(store).collect()] == [("k", "v", None)]
+    table, copy = unique("first"), unique("second")
+    create_table(spark, table, [ColumnSpec("a", "int")], location=scratch_dir(spark, "first"))
+    spark.sql(f"insert into {table} values (1)")
+    run(tmp_path, "migrate", {"source": table, "target": copy, "location": str(tmp_path / "copy")})
+    assert content(spark, copy) == [(1,)]
+
+
 def test_unknown_kind(tmp_path):
     with pytest.raises(SystemExit):
         run(tmp_path, "dance", {})

@@ -1,6 +1,7 @@
 """Database scans and loads, against an embedded in-memory Derby."""
 
 import collections
+import re
 
 import pytest
 from py4j.protocol import Py4JJavaError
@@ -230,6 +231,40 @@ def test_staging_is_refused_where_there_is_no_transaction(spark):
                           PartitionSpec(), staged=True)
 
 
+@pytest.mark.parametrize("db_type, steps", [
+    ("clickhouse", ["ALTER TABLE d.t DROP PARTITION ('d1')", ("append", "d.t", 10_000_000, 5)]),
+    ("doris", ["DELETE FROM d.t WHERE `dt` = ?", ("append", "d.t", 5000, 2)]),
+    ("mysql", ["CREATE TABLE S LIKE d.t", ("append", "S", 1000, 2),
+               "DELETE FROM d.t WHERE `dt` = ?",
+               "INSERT INTO d.t (`id`, `dt`) SELECT `id`, `dt` FROM S", "DROP TABLE S"])])
+def test_steps_of_a_load_by_database(spark, monkeypatch, db_type, steps):
+    """What would be sent to databases that are not at hand, in order."""
+    seen = []
+
+    def staging_named(text):
+        return re.sub(r"d\.t_staging_\w+", "S", text)
+
+    class Counted:
+        def option(self, *_):
+            return self
+
+        def load(self):
+            return spark.range(1).selectExpr("4L")
+
+    def fake_append(df, connection, table, batch_size):
+        seen.append(("append", staging_named(table), batch_size, df.rdd.getNumPartitions()))
+        df.write.format("noop").mode("overwrite").save()
+
+    monkeypatch.setattr(sink, "execute", lambda spark, connection, statements: seen.extend(
+        staging_named(text) for text, _ in statements))
+    monkeypatch.setattr(sink, "append", fake_append)
+    monkeypatch.setattr(Connection, "reader", lambda self, spark: Counted())
+    scheme = "clickhouse" if db_type == "clickhouse" else "mysql"
+    df = spark.range(0, 4, 1, 2).selectExpr("id", "'d1' as dt")
+    replace_partition(df, Connection(f"jdbc:{scheme}://h/d", driver="none"), db_type, "d.t", DT)
+    assert seen == steps
+
+
 def test_import_job(spark):
     table = unique("imported")
     job = JobSpec(target_table=table, connection_url=CONNECTION.url, db_type="derby",
