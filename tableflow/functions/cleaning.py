@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from tableflow.spec import FuncSpec, SpecError, column
 
+# What gives a pattern or a replacement a meaning beyond its plain text.
+_REGEX_SIGNS = re.compile(r"[\\^$.|?*+()\[\]{}]")
+_GROUP_SIGNS = re.compile(r"[\\$]")
+
 
 def substr(text: Column, start: str, length: str) -> Column:
     return F.substring(text, int(start), int(length))
@@ -21,9 +25,13 @@ def pad(text: Column, side: str, length: str, fill: Column) -> Column:
     return padder(text, F.lit(int(length)), fill)
 
 
-def replace(text: Column, pattern: Column, replacement: Column) -> Column:
+def replace(text: Column, pattern: str, replacement: str, escaped: bool = False) -> Column:
     """Replace every match of a Java regular expression; ``$1`` names a group."""
-    return F.regexp_replace(text, pattern, replacement)
+    found, new = parameter(pattern, escaped), parameter(replacement, escaped)
+    if pattern and not _REGEX_SIGNS.search(pattern) and not _GROUP_SIGNS.search(replacement):
+        # Nothing but plain text: the same result without the regular expression's cost.
+        return F.replace(text, found, new)
+    return F.regexp_replace(text, found, new)
 
 
 def parameter(text: str, escaped: bool) -> Column:
@@ -46,7 +54,7 @@ def apply_function(text: Column, func: FuncSpec, escaped: bool = False) -> Colum
         side, length, fill = func.params
         return pad(text, side, length, parameter(fill, escaped))
     if func.name == "replace":
-        return replace(text, *(parameter(p, escaped) for p in func.params))
+        return replace(text, *func.params, escaped)
     raise SpecError(f"{func.name} does not clean a column")
 
 

@@ -70,6 +70,18 @@ def test_edges_of_text_functions(spark, func, result):
     assert values(project(df, [col("v", "string", func)]), "v") == result
 
 
+@pytest.mark.parametrize("pattern, new", [
+    ("-", ""), ("aa", "b"), ("", "x"), ("é", "e"), (" ", "  "), ("a", "$0"), (".", "-"), ("&", "#"),
+    ("zz", "y")])
+@pytest.mark.parametrize("escaped", [False, True])
+def test_plain_and_regular_replacement_agree(spark, pattern, new, escaped):
+    texts = ["2024-01-05", "aaaaa", "café é", "", "a.b & c", None, "-", "zzz"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = project(df, [col("v", "string", ("replace", pattern, new))], escaped=escaped)
+    want = df.select(F.regexp_replace("v", F.lit(pattern), F.lit(new)).alias("v"))
+    assert values(got, "v") == values(want, "v")
+
+
 def test_parameters_are_literals(spark):
     df = spark.createDataFrame([("its 42",)], "v string")
     assert values(project(df, [col("v", "string", ("replace", "its", "it's"))]), "v") == ["it's 42"]
