@@ -45,7 +45,7 @@ def unreadable(base: Column) -> Column:
 def _local_seconds(base: Column) -> Column:
     """Seconds from 1970 to the base time on the local clock; null when unreadable."""
     # Full-width fields, the usual case, are cut out by position; this takes half the time.
-    plain = _seconds([F.substring(base, start, width)
+    plain = _seconds([F.nullif(F.substring(base, start, width), F.lit(""))
                       for start, width in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))])
     numbers = F.regexp_extract_all(F.regexp_extract(base, _READABLE, 0), F.lit(r"\d+"), F.lit(0))
     lenient = _seconds([F.get(numbers, F.lit(i)) for i in range(6)])

@@ -42,6 +42,44 @@ def test_single_casts(spark, text, type_name, result):
     assert values(project(df, [col("v", type_name)]), "v") == [result]
 
 
+TEXTS = ["", " ", "abc", "1", " 1 ", "\t5\n", "+3", "-3", "-", "1e3", "1E-2", ".5", "5.", ".", "NaN",
+         "nan", "inf", "-Infinity", "1.5f", "1.5d", "0x10", "1,000", "true", " T ", "YES", "n", "0", "2",
+         "\u00a01", "\u0661", "127", "128", "-128", "-129", "32768", "2147483648", "9223372036854775807",
+         "9223372036854775808", "1" * 40, "1.0e400", "\x011\x02", "1 2", "0.1.2", "--1", "N/A", "null",
+         "2024-01-05", "2024-1-5", "2024-01-05 10:00:00", "tr", "yes1", None]
+
+
+@pytest.mark.parametrize("target", [
+    "tinyint", "smallint", "int", "bigint", "float", "double", "decimal(10,2)", "decimal", "numeric(5)",
+    "boolean", "date", "timestamp", "string", "binary"])
+def test_guarded_casts_read_what_plain_casts_read(spark, target):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(TEXTS)], "i int, v string")
+    got = project(df, [col("v", target)])
+    plain = df.select(F.col("v").try_cast(target).alias("v"))
+    assert got.dtypes == plain.dtypes
+    if target in ("date", "timestamp"):
+        # As text: some of these years are beyond what Python's dates can hold.
+        got, plain = got.select(F.col("v").cast("string")), plain.select(F.col("v").cast("string"))
+    for text, a, b in zip(TEXTS, values(got, "v"), values(plain, "v")):
+        if b is None and a is not None:
+            # The only text read beyond a plain cast is a fraction cut to a whole number.
+            assert target.endswith("int") and "." in text and int(float("0" + text.strip("+-"))) == abs(a)
+        else:
+            assert repr(a) == repr(b), text
+
+
+@pytest.mark.parametrize("source", ["bigint", "double", "decimal(38,2)", "float", "int"])
+@pytest.mark.parametrize("target", ["tinyint", "smallint", "int", "bigint"])
+def test_numbers_out_of_range_are_null_and_all_others_kept(spark, source, target):
+    edges = [e + d for bits in (7, 15, 31, 63) for e in (2 ** bits, -2 ** bits) for d in (-1, 0, 1)]
+    numbers = [str(e + f) for e in edges for f in (0,)] + [
+        "0", "3.7", "-3.7", "127.9", "128.1", "-128.9", "2147483647.5", "1e30", "-1e30", "NaN", "Infinity"]
+    df = spark.createDataFrame([(n,) for n in numbers], "t string").select(
+        F.col("t").try_cast(source).alias("v"))
+    assert values(project(df, [col("v", target)]), "v") == values(
+        df.select(F.col("v").try_cast(target).alias("v")), "v")
+
+
 def test_bounded_text_types_become_string(raw):
     out = project(raw, [col("name", "VARCHAR(1)"), col("amt", "char(2)")])
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["string", "string"]
