@@ -37,11 +37,6 @@ def expire_at_ms(base: Column, interval: int, unit: str, zone: str | None = None
     return millis if unit == "day" else millis + F.lit(interval * UNIT_MILLIS[unit])
 
 
-def unreadable(base: Column) -> Column:
-    """True where a base time is given but cannot be read."""
-    return base.isNotNull() & ~base.rlike(_READABLE)
-
-
 def _local_seconds(base: Column) -> Column:
     """Seconds from 1970 to the base time on the local clock; null when unreadable."""
     # Full-width fields, the usual case, are cut out by position; this takes half the time.

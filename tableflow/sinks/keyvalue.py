@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
-from tableflow.functions.expiry import expire_at_ms, unreadable
+from tableflow.functions.expiry import expire_at_ms
 from tableflow.functions.keycodec import encode_key, shard_id
 from tableflow.operators.placement import limit_writers
 from tableflow.scratch import checkpointed, ship_package, unique
@@ -57,15 +57,19 @@ def upsert_rows(df: DataFrame, *, set_ttl: bool, interval: int = 0, unit: str =
     if not null_keys:
         refuse = F.raise_error(F.lit("null key in an upsert")).cast("string")
         key = F.when(F.col("key").isNull(), refuse).otherwise(key)
-    expire, bad = F.lit(None).cast("bigint"), F.lit(False)
-    if set_ttl:
-        if len(df.columns) == 2 and current_time is None:
+    rows = df.select(key.alias("key"), text_or("value", NULL_VALUE).alias("value"),
+                     *[F.col("ttl").cast("string").alias("ttl") for n in df.columns if n == "ttl"])
+    if not set_ttl:
+        return rows.select("key", "value", F.lit(None).cast("bigint").alias("expire_at_ms"),
+                           F.lit(False).alias("bad_ttl"))
+    if len(df.columns) == 2:
+        if current_time is None:
             raise SpecError("an upsert with expiry needs a ttl column or a current time")
-        base = F.col("ttl").cast("string") if len(df.columns) == 3 else F.lit(current_time)
-        expire = expire_at_ms(base, interval, unit, zone)
-        bad = F.coalesce(unreadable(base) | (base.isNotNull() & expire.isNull()), F.lit(False))
-    return df.select(key.alias("key"), text_or("value", NULL_VALUE).alias("value"),
-                     expire.alias("expire_at_ms"), bad.alias("bad_ttl"))
+        rows = rows.withColumn("ttl", F.lit(current_time))
+    expire = expire_at_ms(F.col("ttl"), interval, unit, zone)
+    return rows.withColumn("expire_at_ms", expire).select(
+        "key", "value", "expire_at_ms",
+        (F.col("ttl").isNotNull() & F.col("expire_at_ms").isNull()).alias("bad_ttl"))
 
 
 def one_row_per_key(rows: DataFrame) -> DataFrame:
