@@ -1,7 +1,8 @@
-"""Shared scratch space for runs that have to write something before reading it back."""
+"""Scratch folders, checkpoints and shipped code, for results that are read repeatedly."""
 
 from __future__ import annotations
 
+import atexit
 import pathlib
 import tempfile
 import uuid
@@ -10,21 +11,38 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_local_bases: dict[str, str] = {}
+_folders: list[tuple[SparkSession, str]] = []
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder path under the cluster's ``spark.checkpoint.dir``.
+    """A new path under the session's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    Where that setting is absent, a local folder is set, but only for a local master:
-    on a cluster the executors would not see it.
+    Without that setting, a local master uses a temporary folder of its own; a cluster, whose
+    executors could not see it, is refused. The session's settings stay as they are. What is
+    written there is removed when the driver's process ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="tableflow-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{unique(name)}"
+        application = spark.sparkContext.applicationId
+        if application not in _local_bases:
+            _local_bases[application] = tempfile.mkdtemp(prefix="tableflow-")
+        base = _local_bases[application]
+    path = f"{base.rstrip('/')}/{unique(name)}"
+    if not _folders:
+        atexit.unregister(remove_scratch)
+        atexit.register(remove_scratch)  # only now, so that it runs before the gateway ends
+    _folders.append((spark, path))
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows as a parquet table in the shared scratch folder: computed once, read anywhere."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -35,6 +53,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def remove_scratch() -> None:
+    """Remove the scratch folders handed out so far whose application still runs."""
+    while _folders:
+        spark, path = _folders.pop()
+        context = spark.sparkContext
+        if context._jsc is None or context._jsc.sc().isStopped():
+            continue
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+
 def unique(name: str) -> str:
     """A name no other run uses, valid as a table or folder name."""
     return f"{name}_{uuid.uuid4().hex[:12]}"
