@@ -38,10 +38,10 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return path
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """The rows as a parquet table in the shared scratch folder: computed once, read anywhere."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
