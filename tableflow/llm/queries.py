@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import chat, quality
+from tableflow.llm import bitpack, bpe, chat, packing, quality, relative, simhash, suffixes, \
+    weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -107,3 +109,45 @@ select pair_id, n_common,
     lambda x: (length(x.role) + 5) || '- ' || (length(x.text) + 1)
       || case when x.role = 'assistant' then '+' else '-' end || ' ') || [''], 'string_agg', '')) end rejected_mask
 from n"""
+
+
+@query
+def op4_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"),
+                          public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+
+
+@query
+def op7_packed_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    images = bitpack.write_images(table(spark, sf_dir, "documents"),
+                                  public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return bitpack.read_images(images)
+
+
+@query
+def op10_sentencepiece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = bpe.digests(documents, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"),
+                        public_tokenizers.PATTERN)
+    return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return relative.without_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hexadecimal("fp").alias("fingerprint"), "component_id")
+
+
+@query
+def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted.compared_with_next(table(spark, sf_dir, "documents"))
