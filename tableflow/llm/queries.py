@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import bitpack, bpe, chat, packing, quality, relative, simhash, suffixes, \
-    weighted
+from tableflow.llm import bitpack, bpe, chat, mixing, packing, quality, relative, simhash, \
+    suffixes, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,8 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted.compared_with_next(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.scored(table(spark, sf_dir, "documents"))
