@@ -2,6 +2,8 @@
 
 import random
 
+TABLES = "/root/testdata/sf0.001"
+
 
 def words(rng, count):
     return [rng.choice(["la", "de", "étre", "ou", "than", "of", "the", "in"]) + rng.choice(
