@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow.llm.windows import _BYTE, _FIRST, _WORD, Bundle, Search, as_words, searched, \
-    span_hashes
+from tableflow.llm.windows import _BYTE, _FIRST, _WORD, Search, Texts, as_words, \
+    searched, span_hashes
 
 SIZE = 50
 ANCHOR = 8
@@ -86,8 +86,7 @@ FIELDS = T.StructType([T.StructField("doc_id", T.LongType()),
                        T.StructField("kept_sha256", T.StringType())])
 
 
-def _finished(bundle: Bundle, removed: np.ndarray) -> pa.Table:
-    texts = bundle.texts
+def _finished(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
     offsets = texts.documents
     first, last = texts.words
     kept = texts.data[np.repeat(~removed, last - first + 1)]
@@ -97,11 +96,11 @@ def _finished(bundle: Bundle, removed: np.ndarray) -> pa.Table:
     left = [raw[a:max(a, b - 1)] for a, b in zip(sizes[offsets[:-1]].tolist(),
                                                  sizes[offsets[1:]].tolist())]
     return pa.table({
-        "doc_id": bundle.table.column("doc_id"), "n_words": pa.array(np.diff(offsets)),
+        "doc_id": table.column("doc_id"), "n_words": pa.array(np.diff(offsets)),
         "n_removed": pa.array(np.diff(total[offsets])),
         "kept_sha256": pa.array([hashlib.sha256(one).hexdigest() for one in left], pa.string()),
         "kept": pa.array([one.decode() for one in left], pa.string()),
-        "text": bundle.table.column("text"), "row": bundle.table.column("row")})
+        "text": table.column("text"), "row": table.column("row")})
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -114,8 +113,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     words that are left with one space between them, the ``text`` as it was, and ``row``, the
     document's other columns.
     """
-    def finish(bundle: Bundle, removed: np.ndarray) -> pa.Table:
-        return _finished(bundle, removed).select(fields.fieldNames())
+    def finish(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
+        return _finished(table, texts, removed).select(fields.fieldNames())
 
     carried = [name for name in docs.columns if name != text] if with_kept else []
     fields = FIELDS

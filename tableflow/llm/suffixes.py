@@ -17,10 +17,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tableflow.llm.windows import Bundle, Search, as_bytes, searched
+from tableflow.llm.windows import Search, Texts, as_bytes, searched
 
 SIZE = 50
-ANCHOR = 20
+ANCHOR = 28
 #: Stands behind each text: no UTF-8 text holds this byte.
 END = 0xFF
 
@@ -212,25 +212,25 @@ FIELDS = T.StructType([T.StructField("doc_id", T.LongType()),
                        T.StructField("kept_sha256", T.StringType())])
 
 
-def _finished(bundle: Bundle, removed: np.ndarray) -> pa.Table:
-    offsets = bundle.texts.documents
+def _finished(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
+    offsets = texts.documents
     total = np.concatenate([[0], np.cumsum(removed)])
     first = removed.copy()
     first[1:] &= ~removed[:-1]
     begins = offsets[:-1][np.diff(offsets) > 0]
     first[begins] = removed[begins]
     spans = np.concatenate([[0], np.cumsum(first)])
-    kept = bundle.texts.data[~removed]
+    kept = texts.data[~removed]
     own = offsets - total[offsets]
     view = memoryview(np.ascontiguousarray(kept))
     digests = [hashlib.sha256(view[a:b]).hexdigest() for a, b in zip(own[:-1], own[1:])]
-    columns = {"doc_id": bundle.table.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)),
+    columns = {"doc_id": table.column("doc_id"), "n_bytes": pa.array(np.diff(offsets)),
                "n_removed": pa.array(np.diff(total[offsets])),
                "n_spans": pa.array(np.diff(spans[offsets])),
                "kept_sha256": pa.array(digests, pa.string()),
                "kept": pa.array([view[a:b].tobytes() for a, b in zip(own[:-1], own[1:])],
                                 pa.binary()),
-               "text": bundle.table.column("text"), "row": bundle.table.column("row")}
+               "text": table.column("text"), "row": table.column("row")}
     return pa.table(columns)
 
 
@@ -244,8 +244,8 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     left, as binary (characters can be cut), the ``text`` as it was, and ``row``, the document's
     other columns.
     """
-    def finish(bundle: Bundle, removed: np.ndarray) -> pa.Table:
-        return _finished(bundle, removed).select(fields.fieldNames())
+    def finish(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
+        return _finished(table, texts, removed).select(fields.fieldNames())
 
     carried = [name for name in docs.columns if name != text] if with_kept else []
     fields = FIELDS

@@ -66,7 +66,7 @@ def signatures(column: list[str]) -> np.ndarray:
     split = as_words(pa.array(column, pa.large_string()))
     first, last = split.words
     words = span_hashes(_BYTE[split.data], first, last, _WORD)
-    pairs = mixed(blocks_of(words, 2)) if len(words) > 1 else words[:0]
+    pairs = mixed(blocks_of(words, 2)[0]) if len(words) > 1 else words[:0]
     low = np.uint64(BINS - 1)
     words, pairs = (words & low).astype(np.int64), (pairs & low).astype(np.int64)
     found = np.zeros((len(column), SAMPLES), np.uint8)

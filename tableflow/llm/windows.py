@@ -14,11 +14,11 @@ meet all others in one task:
 4. A shard joins equal texts of all bundles, and a judge that is given (an induced suffix array,
    a relative Lempel-Ziv parse) finds the equal windows among what remains. It answers with a bit
    for each window.
-5. Bundles put the answers together. A text's later documents need no answer: the window starts
-   in the first.
+5. Bundles put the answers together with a note of what was asked, which they sent themselves.
+   A text's later documents need no answer: the window starts in the first.
 
 The rows between these steps are compressed blocks, one for each bundle and shard. Hashes only
-choose what is compared; equal texts are told by 128 bits, equal windows by the judge.
+choose what is compared: texts and windows are equal if their bytes are.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from tableflow.llm.arrow import text_bytes
 from tableflow.scratch import ship_package
@@ -43,7 +42,7 @@ from tableflow.scratch import ship_package
 BUNDLE_BYTES = 8 << 20
 BUNDLES_A_SHARD = 4
 #: Windows that are looked at together, and the text that a judge gets at once, about.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 JUDGED_BYTES = 3 << 20
 #: Classes of anchors within a shard, by which it can be worked off piece by piece.
 CLASSES = 64
@@ -52,7 +51,7 @@ U = np.uint64
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _MIX, _MIX2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-#: Multipliers of the polynomial hashes: of words, of anchors, and two of whole texts.
+#: Multipliers of the polynomial hashes: of words, of anchors, and two more of spans.
 _WORD, _ANCHOR, _FIRST, _SECOND = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), \
     U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
 
@@ -99,25 +98,37 @@ def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return mixed(found + (ends - starts).astype(np.uint64) * _MIX)
 
 
-def blocks_of(units: np.ndarray, size: int) -> np.ndarray:
-    """The hash of every ``size`` consecutive units."""
+def blocks_of(units: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """The hash of every ``size`` consecutive units; and of the largest power of two in it."""
     found, held = None, 0
     block, length = units, 1
-    while size:
-        if size & 1:
+    while True:
+        if size & length:
             if found is None:
                 found, held = block, length
             else:
-                tail = block[held:]
-                count = min(len(found), len(tail))
                 power = U(pow(int(_ANCHOR), length, 1 << 64))
-                found, held = found[:count] * power + tail[:count], held + length
-        size >>= 1
-        if size:
-            power = U(pow(int(_ANCHOR), length, 1 << 64))
-            block = block[:-length] * power + block[length:] if len(block) > length else block[:0]
-            length *= 2
-    return found
+                tail = block[held:held + len(found)]
+                found = found[:len(tail)] * power
+                found += tail
+                held += length
+        if 2 * length > size:
+            return found, block, length
+        power = U(pow(int(_ANCHOR), length, 1 << 64))
+        longer = block[:max(len(block) - length, 0)] * power
+        longer += block[length:]
+        block, length = longer, 2 * length
+
+
+def span_digests(blocks: np.ndarray, length: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each span of units, made of the blocks that it is covered by."""
+    sizes = ends - starts
+    found = sizes.astype(np.uint64)
+    for low in range(0, int(sizes.max()) if len(sizes) else 0, length):
+        found ^= blocks[np.minimum(starts + low, ends - length)]
+        found *= _MIX
+        found ^= found >> U(29)
+    return mixed(found)
 
 
 def sliding_minimum(values: np.ndarray, size: int) -> np.ndarray:
@@ -188,52 +199,70 @@ class Runs:
     start: np.ndarray  # first unit
     windows: np.ndarray  # consecutive windows from there on
     anchor: np.ndarray  # the anchor's hash
-    first: np.ndarray  # two hashes of the run's units
-    second: np.ndarray
+    digest: np.ndarray  # a hash of the run's units
 
 
 def runs_of(texts: Texts, size: int, anchor: int) -> Runs:
     """All windows of ``size`` units that lie in a document, by their anchors."""
     parts = []
     count = max(0, texts.units - size + 1)
-    sizes = np.diff(texts.documents)
-    long = sizes >= size
+    long = np.diff(texts.documents) >= size
     begins, ends = texts.documents[:-1][long], texts.documents[1:][long] - size + 1
+    position = np.arange(CHUNK + size, dtype=np.uint64)
     for low in range(0, count, CHUNK):
         high = min(count, low + CHUNK)
-        units = texts.hashes(low, high + size - 1)
-        keys = mixed(blocks_of(units, anchor))
-        ranked = (keys >> U(20) << U(20)) | np.arange(len(keys), dtype=np.uint64)
+        keys, blocks, length = blocks_of(texts.hashes(low, high + size - 1), anchor)
+        ranked = keys * _MIX2
+        ranked >>= U(20)
+        ranked <<= U(20)
+        ranked |= position[:len(keys)]
         least = sliding_minimum(ranked, size - anchor + 1) & U((1 << 20) - 1)
-        inside = np.zeros(high - low + 1, np.int32)
         i, j = np.searchsorted(ends, low, "right"), np.searchsorted(begins, high, "left")
-        np.add.at(inside, np.maximum(begins[i:j], low) - low, 1)
-        np.add.at(inside, np.minimum(ends[i:j], high) - low, -1)
-        valid = np.flatnonzero(np.cumsum(inside[:-1]))
-        if not len(valid):
-            continue
-        own = least[valid].astype(np.int64)
-        new = np.ones(len(valid), bool)
-        new[1:] = (valid[1:] != valid[:-1] + 1) | (own[1:] != own[:-1])
-        at = np.flatnonzero(new)
-        start, windows = valid[at], np.diff(np.append(at, len(valid)))
-        end = start + windows + size - 1
-        parts.append((start + low, windows, keys[own[at]],
-                      span_hashes(units, start, end, _FIRST),
-                      span_hashes(units, start, end, _SECOND)))
+        new = np.empty(high - low, bool)
+        new[0] = True
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        firsts, lasts = np.maximum(begins[i:j], low) - low, np.minimum(ends[i:j], high) - low
+        new[firsts] = True
+        new[lasts[lasts < high - low]] = True
+        start = np.flatnonzero(new)
+        stop = np.append(start[1:], high - low)
+        # between the documents' last windows and the next documents' first ones lie none
+        inside = np.searchsorted(firsts, start, "right") - 1
+        valid = inside >= 0
+        valid[valid] = start[valid] < lasts[inside[valid]]
+        start, stop = start[valid], stop[valid]
+        if len(start):
+            parts.append((start + low, stop - start, mixed(keys[least[start].astype(np.int64)]),
+                          span_digests(blocks, length, start, stop + size - 1)))
     if not parts:
         none = np.zeros(0, np.int64)
-        return Runs(none, none, *[np.zeros(0, np.uint64)] * 3)
+        return Runs(none, none, *[np.zeros(0, np.uint64)] * 2)
     return Runs(*[np.concatenate(columns) for columns in zip(*parts)])
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The sorted values without repeats."""
+    values = np.sort(values)
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new]
+
+
+def contained(values: np.ndarray, held: np.ndarray) -> np.ndarray:
+    """Whether each value is among the sorted ones held."""
+    if not len(held):
+        return np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(held, values), len(held) - 1)
+    return held[at] == values
+
+
 def equal_groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each row its group by equality in all keys, and each group's first row.
 
     Rows are sorted by the first key alone, which tells nearly all groups apart: rows that differ
     in another key between them split a group, which only costs a comparison later.
     """
-    order = np.argsort(keys[0], kind="stable")
+    order = np.argsort(keys[0])
     new = np.ones(len(order), bool)
     if len(order):
         new[1:] = False
@@ -242,7 +271,40 @@ def equal_groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         new[1:] |= ordered[1:] != ordered[:-1]
     group = np.empty(len(order), np.int64)
     group[order] = np.cumsum(new) - 1
-    return group, order[new]
+    starts = np.flatnonzero(new)
+    return group, np.minimum.reduceat(order, starts) if len(starts) else order
+
+
+def same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray,
+               sizes: np.ndarray) -> np.ndarray:
+    """Whether the bytes from ``one`` on equal those from ``other`` on, for so many bytes."""
+    same = np.ones(len(one), bool)
+    for low in range(0, len(one), 1 << 14):
+        part = slice(low, low + (1 << 14))
+        own = sizes[part]
+        starts = np.cumsum(own) - own
+        unlike = gathered(data, one[part], one[part] + own) != \
+            gathered(data, other[part], other[part] + own)
+        same[part] = ~np.logical_or.reduceat(unlike, starts)
+    return same
+
+
+def text_groups(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+                digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each span of bytes its group of equal texts, and each group's first span.
+
+    The digests find the groups; the texts decide. A text that only shares another's digest is
+    taken out of the group.
+    """
+    sizes = ends - starts
+    group, example = equal_groups(digests)
+    rows = np.flatnonzero(example[group] != np.arange(len(group)))
+    first = example[group[rows]]
+    alike = sizes[rows] == sizes[first]
+    alike[alike] = same_bytes(data, starts[rows[alike]], starts[first[alike]], sizes[rows[alike]])
+    odd = rows[~alike]
+    group[odd] = len(example) + np.arange(len(odd))
+    return group, np.append(example, odd)
 
 
 def gathered(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -279,6 +341,14 @@ def unsqueezed(block: bytes) -> list[np.ndarray]:
     return found
 
 
+def in_order(table: pa.Table) -> pa.Table:
+    """The documents by id, those of one id by text; documents without an id come last."""
+    order = table.select(["doc_id", "text"]).append_column(
+        "i", pa.array(np.arange(len(table)))).sort_by(
+        [("doc_id", "ascending"), ("text", "ascending")]).column("i")
+    return table.take(order)
+
+
 #: What a judge gets: the texts' bytes, their ends, and the least ids. It returns for the windows
 #: of every text, in order, whether the window also lies in a text with a smaller id.
 Judge = Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray]
@@ -296,12 +366,8 @@ class Search:
     # --- in bundles -------------------------------------------------------------------------
 
     def bundle(self, table: pa.Table) -> "Bundle":
-        order = table.select(["doc_id", "text"]).append_column(
-            "i", pa.array(np.arange(len(table)))).sort_by(
-            [("doc_id", "ascending"), ("text", "ascending")]).column("i")
-        table = table.take(order)
-        column = table.column("text").combine_chunks()
-        texts = self.units(column)
+        table = in_order(table)
+        texts = self.units(table.column("text"))
         runs = runs_of(texts, self.size, self.anchor)
         ids = table.column("doc_id")
         known = np.asarray(ids.is_valid())
@@ -311,7 +377,7 @@ class Search:
             some = known[document]
             runs = Runs(*[getattr(runs, name)[some] for name in Runs.__dataclass_fields__])
             document = document[some]
-        return Bundle(table, texts, runs, ids[document])
+        return Bundle(table, texts, runs, ids[document], self.size)
 
     # --- in shards --------------------------------------------------------------------------
 
@@ -351,11 +417,8 @@ class Search:
                 data: np.ndarray) -> np.ndarray:
         windows, sizes = windows.astype(np.int64), sizes.astype(np.int64)
         ends = np.cumsum(sizes)
-        units = _BYTE[data]
-        first = span_hashes(units, ends - sizes, ends, _FIRST)
-        second = span_hashes(units, ends - sizes, ends, _SECOND)
-        del units
-        group, example = equal_groups(first, second)
+        group, example = text_groups(data, ends - sizes, ends,
+                                     span_hashes(_BYTE[data], ends - sizes, ends, _FIRST))
         least = np.full(len(example), np.iinfo(np.int64).max)
         np.minimum.at(least, group, ids)
         # an anchor with a single text has no other text to look in
@@ -385,79 +448,78 @@ def _at(ends: np.ndarray, i: int) -> int:
 
 
 class Bundle:
-    """A bundle's documents by id, its runs, and which of them have the same text."""
+    """A bundle's documents by id, and its runs."""
 
-    def __init__(self, table: pa.Table, texts: Texts, runs: Runs, ids: np.ndarray):
-        self.table, self.texts, self.runs, self.ids = table, texts, runs, ids
-        self.group, self.example = equal_groups(runs.first, runs.second)
-        order = np.argsort(self.example)  # by first appearance, so by document
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        self.group, self.example = back[self.group], self.example[order]
-        self.least = ids[self.example]
+    def __init__(self, table: pa.Table, texts: Texts, runs: Runs, ids: np.ndarray, size: int):
+        self.table, self.texts, self.runs, self.ids, self.size = table, texts, runs, ids, size
 
     def anchors(self, shards: int) -> dict[int, np.ndarray]:
         """For each shard, the sorted hashes of the bundle's anchors (48 bits of them)."""
-        keys = np.unique(self.runs.anchor[self.example])
+        keys = distinct(self.runs.anchor)
         shard = shard_of(keys, shards)
         order = np.argsort(shard, kind="stable")
         cut = np.flatnonzero(np.diff(shard[order])) + 1
-        return {int(shard[part[0]]): np.unique(keys[part] >> U(16))
+        return {int(shard[part[0]]): distinct(keys[part] >> U(16))
                 for part in np.split(order, cut) if len(part)}
 
-    def sent(self, shards: int, shared: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
-        """For each shard, the texts to send (as groups), classes together.
+    def sent(self, shards: int, shared: np.ndarray) -> tuple[dict[int, bytes], bytes]:
+        """For each shard a block of texts to look for; and a block for the bundle itself.
 
-        ``shared`` tells for each shard which of the anchors sent other bundles have, too. Anchors
-        with several texts within the bundle are sent in any case.
+        ``shared`` are the anchors (sorted) that other bundles have, too. Anchors with several
+        texts within the bundle are sent in any case. The bundle's own block has the runs that
+        repeat a text of a smaller id in the bundle, and the runs that the answers will be about,
+        in the order of the shards.
         """
-        keys = self.runs.anchor[self.example]
+        runs = self.runs
+        first, last = self.texts.byte_spans(runs.start, runs.start + runs.windows + self.size - 1)
+        group, example = text_groups(self.texts.data, first, last, runs.digest)
+        least = self.ids[example]  # the first run's, as documents are in order
+        keys = runs.anchor[example]
         kinds, _ = equal_groups(keys)
         wanted = np.bincount(kinds)[kinds] > 1 if len(kinds) else np.zeros(0, bool)
-        shard = shard_of(keys, shards)
-        order = np.lexsort((class_of(keys), shard))
-        found = {}
-        for part in np.split(order, np.flatnonzero(np.diff(shard[order])) + 1):
-            if not len(part):
-                continue
-            at = int(shard[part[0]])
-            chosen = wanted[part]
-            if at in shared and len(shared[at]):
-                chosen |= np.isin(keys[part] >> U(16), shared[at])
-            if chosen.any():
-                found[at] = part[chosen]
-        return found
-
-    def block(self, groups: np.ndarray, size: int) -> bytes:
-        rows = self.example[groups]
-        start, windows = self.runs.start[rows], self.runs.windows[rows]
-        first, last = self.texts.byte_spans(start, start + windows + size - 1)
-        classes = np.bincount(class_of(self.runs.anchor[rows]), minlength=CLASSES)
-        return squeezed(classes.astype(np.uint32), windows.astype(np.uint16), self.least[groups],
-                        (last - first).astype(np.uint32),
-                        (self.runs.anchor[rows] >> U(32)).astype(np.uint32),
-                        gathered(self.texts.data, first, last))
-
-    def repeated(self, sent: dict[int, np.ndarray], answers: dict[int, bytes]) -> np.ndarray:
-        """For each unit, whether a window starts there that a smaller id has, too."""
-        windows = self.runs.windows
-        found = np.zeros(self.texts.units, bool)
-        later = self.ids > self.least[self.group]
-        starts = gathered_ranges(self.runs.start[later], windows[later])
-        found[starts] = True
-        bits_of = np.full(len(self.example), -1, np.int64)
-        bits, held = [np.zeros(0, bool)], 0
-        for shard, groups in sent.items():
-            own = windows[self.example[groups]]
-            total = int(own.sum())
-            bits.append(np.unpackbits(unsqueezed(answers[shard])[0], count=total).astype(bool))
-            bits_of[groups] = held + np.cumsum(own) - own
-            held += total
-        bits = np.concatenate(bits)
-        asked = ~later & (bits_of[self.group] >= 0)
-        answered = bits[gathered_ranges(bits_of[self.group[asked]], windows[asked])]
-        found[gathered_ranges(self.runs.start[asked], windows[asked])[answered]] = True
-        return found
+        wanted |= contained(keys >> U(16), shared)
+        chosen = np.flatnonzero(wanted)
+        shard = shard_of(keys[chosen], shards)
+        order = np.lexsort((example[chosen], class_of(keys[chosen]), shard))
+        chosen, shard = chosen[order], shard[order]
+        blocks = {}
+        for part in np.split(np.arange(len(chosen)), np.flatnonzero(np.diff(shard)) + 1):
+            if len(part):
+                rows = example[chosen[part]]
+                blocks[int(shard[part[0]])] = squeezed(
+                    np.bincount(class_of(runs.anchor[rows]), minlength=CLASSES).astype(np.uint32),
+                    runs.windows[rows].astype(np.uint16), self.ids[rows],
+                    (last[rows] - first[rows]).astype(np.uint32),
+                    (runs.anchor[rows] >> U(32)).astype(np.uint32),
+                    gathered(self.texts.data, first[rows], last[rows]))
+        # what has the text of a sent one and is in a document of the same id is asked for, too
+        place = np.full(len(example), -1, np.int64)
+        place[chosen] = np.arange(len(chosen))
+        later = self.ids > least[group]
+        asked = np.flatnonzero(~later & (place[group] >= 0))
+        own = squeezed(runs.start[later].astype(np.uint32), runs.windows[later].astype(np.uint16),
+                       runs.start[asked].astype(np.uint32), runs.windows[asked].astype(np.uint16),
+                       place[group[asked]].astype(np.uint32),
+                       runs.windows[example[chosen]].astype(np.uint16), shard.astype(np.uint32))
+        return blocks, own
+
+
+def repeated(units: int, own: bytes, answers: dict[int, bytes]) -> np.ndarray:
+    """For each unit of a bundle, whether a window starts there that a smaller id has, too."""
+    later, later_windows, start, windows, place, counts, shard = [
+        column.astype(np.int64) for column in unsqueezed(own)]
+    found = np.zeros(units, bool)
+    found[gathered_ranges(later, later_windows)] = True
+    ends = np.cumsum(counts)
+    bits = [np.zeros(0, bool)]
+    for part in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
+        if len(part):
+            bits.append(np.unpackbits(unsqueezed(answers[int(shard[part[0]])])[0],
+                                      count=int(counts[part].sum())).astype(bool))
+    bits = np.concatenate(bits)
+    answered = bits[gathered_ranges((ends - counts)[place], windows)]
+    found[gathered_ranges(start, windows)[answered]] = True
+    return found
 
 
 def gathered_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -483,10 +545,11 @@ def covered(starts: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(change)[:len(starts)] > 0
 
 
-def searched(docs: DataFrame, search: Search, finish: Callable[[Bundle, np.ndarray], pa.Table],
+def searched(docs: DataFrame, search: Search,
+             finish: Callable[[pa.Table, Texts, np.ndarray], pa.Table],
              fields: T.StructType, doc_id: str, text: str, carried: list[str],
              bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
-    """Each bundle's documents as ``finish`` makes them of the bundle and its covered units.
+    """Each bundle's documents as ``finish`` makes them of their texts and the covered units.
 
     ``carried`` columns are at hand in the bundle's table, as the struct ``row``.
     """
@@ -509,52 +572,42 @@ def searched(docs: DataFrame, search: Search, finish: Callable[[Bundle, np.ndarr
         keys = [np.cumsum(unsqueezed(block.as_py())[0], dtype=np.uint64)
                 for block in table.column("block")]
         every = np.sort(np.concatenate(keys))
-        several = np.unique(every[1:][every[1:] == every[:-1]])
+        several = distinct(every[1:][every[1:] == every[:-1]])
         return pa.table({"bundle": table.column("bundle"), "shard": table.column("shard"),
-                         "block": pa.array([squeezed(np.packbits(np.isin(own, several)))
+                         "block": pa.array([squeezed(np.packbits(contained(own, several)))
                                             for own in keys], pa.binary())})
 
-    def chosen(bundle: Bundle, told: pa.Table) -> dict[int, np.ndarray]:
-        own = bundle.anchors(shards)
-        shared_keys = {}
-        for shard, block in zip(told.column("shard").to_pylist(), told.column("block")):
-            keys = own[shard]
-            shared_keys[shard] = keys[np.unpackbits(unsqueezed(block.as_py())[0],
-                                                    count=len(keys)).astype(bool)]
-        return bundle.sent(shards, shared_keys)
-
     def send(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         bundle = search.bundle(table)
-        return _blocks(table.column("bundle")[0].as_py(),
-                       {shard: bundle.block(groups, search.size)
-                        for shard, groups in chosen(bundle, told).items()})
+        own, keys = bundle.anchors(shards), [np.zeros(0, np.uint64)]
+        for shard, block in zip(told.column("shard").to_pylist(), told.column("block")):
+            keys.append(own[shard][np.unpackbits(unsqueezed(block.as_py())[0],
+                                                 count=len(own[shard])).astype(bool)])
+        blocks, itself = bundle.sent(shards, np.sort(np.concatenate(keys)))
+        at = table.column("bundle")[0].as_py()
+        return _blocks(at, {**blocks, -1 - at: itself})
 
     def answer(table: pa.Table) -> pa.Table:
+        if table.column("shard")[0].as_py() < 0:  # from bundles to themselves
+            return table
         blocks = [unsqueezed(block.as_py()) for block in table.column("block")]
         return pa.table({"bundle": table.column("bundle"), "shard": table.column("shard"),
                          "block": pa.array(search.answers(blocks), pa.binary())})
 
     def end(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
-        if not len(table):
-            return fields_empty
-        bundle = search.bundle(table)
-        kinds = np.asarray(told.column("kind").to_pylist(), object)
-        first, second = told.filter(pa.array(kinds == "shared")), \
-            told.filter(pa.array(kinds == "answer"))
-        answers = dict(zip(second.column("shard").to_pylist(),
-                           [block.as_py() for block in second.column("block")]))
-        starts = bundle.repeated(chosen(bundle, first), answers)
-        return finish(bundle, covered(starts, search.size))
+        table = in_order(table)
+        texts = search.units(table.column("text"))
+        answers = dict(zip(told.column("shard").to_pylist(),
+                           [block.as_py() for block in told.column("block")]))
+        itself = next(answers[shard] for shard in answers if shard < 0)
+        return finish(table, texts, covered(repeated(texts.units, itself, answers), search.size))
 
     schema = "bundle long, shard long, block binary"
     by_bundle = rows.groupBy("bundle")
     told = by_bundle.applyInArrow(anchors, schema).groupBy("shard").applyInArrow(shared, schema)
-    texts = by_bundle.cogroup(told.groupBy("bundle")).applyInArrow(send, schema)
-    answered = texts.groupBy("shard").applyInArrow(answer, schema)
-    both = told.withColumn("kind", F.lit("shared")).unionByName(
-        answered.withColumn("kind", F.lit("answer")))
-    fields_empty = to_arrow_schema(fields).empty_table()
-    return by_bundle.cogroup(both.groupBy("bundle")).applyInArrow(end, fields)
+    sent = by_bundle.cogroup(told.groupBy("bundle")).applyInArrow(send, schema)
+    answered = sent.groupBy("shard").applyInArrow(answer, schema)
+    return by_bundle.cogroup(answered.groupBy("bundle")).applyInArrow(end, fields)
 
 
 def _steps(keys: np.ndarray) -> np.ndarray:
