@@ -19,17 +19,20 @@ def bulk_pairs(spark: SparkSession, segment: str, *, table: str = "", path: str
 
 def shard_export_job(spark: SparkSession, segment: str, output: str, *, table: str = "",
                      path: str = "", spec: PartitionSpec | None = None, shards: int = 32,
-                     tasks: int | None = None, unique_keys: bool = True) -> None:
+                     tasks: int | None = None, one_file_per_shard: bool = False,
+                     newest_by: str | None = None) -> None:
     """Encode a table (or parquet files with differing columns), shard and sort it, and
     replace the output folder. ``ttl`` and ``score`` columns travel with the pairs."""
     df = read_table_or_parquet(spark, table, path, spec, merge_schema=True)
     value = value_column(df)
     if value.name != "value":
         df = df.withColumnRenamed(value.name, "value")
-    carried = [n for n in ("ttl", "score") if n in df.columns]
+    carried = [n for n in ("ttl", "score") if n in df.columns and n != newest_by]
+    carried += [newest_by] if newest_by else []
     keyed = with_shard(df, shards, F.col("key"))
     pairs = encoded_pairs(keyed, segment, keep=["shard_id", *carried])
-    sharded_export(pairs, output, shards, tasks=tasks, unique_keys=unique_keys)
+    sharded_export(pairs, output, shards, tasks=tasks, one_file_per_shard=one_file_per_shard,
+                   newest_by=newest_by)
 
 
 def backup_export_job(spark: SparkSession, segment: str, path: str, output: str) -> None:

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tableflow.functions.expiry import expire_at_ms
-from tableflow.plans.kvload import (
-    backup_export_job, bulk_pairs, shard_export_job, upsert_job)
+from tableflow.plans.kvload import backup_export_job, bulk_pairs, shard_export_job
 from tableflow.queries.registry import load, query, view
 from tableflow.scratch import scratch_dir
-from tableflow.sinks.keyvalue import encoded_pairs, sharded_export, text_or, with_shard
+from tableflow.sinks.keyvalue import (
+    encoded_pairs, prepared_upsert, sharded_export, text_or, with_shard)
 from tableflow.sources.keyvalue import read_backup
+from tableflow.sources.tables import read_sql
 
 
 def _hex_key(segment: str, kind: str, key: str, member: str = "") -> str:
@@ -92,20 +93,30 @@ _SHARD_SUMMARY = f"""
           from orders)
     group by shard_id"""
 
+_BLOCK_ROWS = 4096
+
 
 def _shard_summary(spark, path):
     """Per shard: size, first and last key; whether each file is sorted and the files of a
-    shard follow each other without overlap."""
+    shard follow each other without overlap. Files are checked by blocks of rows, then the
+    blocks' borders, so that no task needs a whole file."""
     pairs = spark.read.parquet(path).select(
         "shard_id", "key_bytes", F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row"))
-    before = F.lag("key_bytes").over(Window.partitionBy("file").orderBy("row"))
-    files = (pairs.withColumn("before", before).groupBy("shard_id", "file")
-             .agg(F.count(F.lit(1)).alias("pairs"), F.min("key_bytes").alias("low"),
-                  F.max("key_bytes").alias("high"),
-                  F.coalesce(F.bool_and(F.col("before") <= F.col("key_bytes")), F.lit(True))
-                  .alias("in_order")))
-    # From here on there is one row per file.
+        F.col("_metadata.row_index").alias("row")) \
+        .withColumn("block", F.floor(F.col("row") / _BLOCK_ROWS))
+    before = F.lag("key_bytes").over(Window.partitionBy("file", "block").orderBy("row"))
+    blocks = (pairs.withColumn("before", before).groupBy("shard_id", "file", "block")
+              .agg(F.count(F.lit(1)).alias("pairs"), F.min("key_bytes").alias("low"),
+                   F.max("key_bytes").alias("high"),
+                   F.coalesce(F.bool_and(F.col("before") <= F.col("key_bytes")), F.lit(True))
+                   .alias("sorted")))
+    # From here on there is one row per block, then one per file.
+    ended = F.lag("high").over(Window.partitionBy("file").orderBy("block"))
+    files = (blocks.withColumn("ended", ended).groupBy("shard_id", "file")
+             .agg(F.sum("pairs").alias("pairs"), F.min("low").alias("low"),
+                  F.max("high").alias("high"),
+                  F.bool_and(F.col("sorted") & F.coalesce(F.col("ended") <= F.col("low"),
+                                                          F.lit(True))).alias("in_order")))
     last = F.lag("high").over(Window.partitionBy("shard_id").orderBy("low", "high"))
     return (files.withColumn("last", last).groupBy("shard_id")
             .agg(F.sum("pairs").alias("pair_count"), F.hex(F.min("low")).alias("first_key"),
@@ -131,18 +142,19 @@ def q_kv_shard_range_export(spark, sf_dir):
     return _shard_summary(spark, path)
 
 
-@query(f"""select {_hex_key('orders', '4', 'k', 'm')} as key_hex, upper(hex(max(v))) as value_hex
+@query(f"""select {_hex_key('orders', '4', 'k', 'm')} as key_hex, upper(hex(v)) as value_hex
            from (select o_orderpriority as k, o_orderstatus as m, cast(o_orderkey as varchar) as v
-                 from orders)
-           group by k, m""")
+                 from orders
+                 qualify row_number() over (partition by o_orderpriority, o_orderstatus order by
+                     o_orderdate desc, cast(o_orderkey as varchar) desc) = 1)""")
 def q_kv_newest_pair_export(spark, sf_dir):
-    """Very many copies of few keys: one pair per key is left, the greatest value."""
+    """Very many copies of few keys: one pair per key is left, the newest by its order's date."""
     path = scratch_dir(spark, "shards")
     rows = load(spark, sf_dir, "orders").select(
         F.col("o_orderpriority").alias("key"), F.col("o_orderkey").cast("string").alias("value"),
-        F.col("o_orderstatus").alias("member"), F.lit(4).alias("type"))
-    pairs = encoded_pairs(with_shard(rows, 4), "orders", keep=["shard_id"])
-    sharded_export(pairs, path, 4, unique_keys=False)
+        F.col("o_orderstatus").alias("member"), F.lit(4).alias("type"), "o_orderdate")
+    pairs = encoded_pairs(with_shard(rows, 4), "orders", keep=["shard_id", "o_orderdate"])
+    sharded_export(pairs, path, 4, newest_by="o_orderdate")
     return _hexed(spark.read.parquet(path))
 
 
@@ -216,22 +228,22 @@ def q_kv_expire_at(spark, sf_dir):
           qualify row_number() over (partition by o_custkey
                                      order by o_orderdate desc, cast(o_orderkey as varchar) desc) = 1""")
 def q_kv_ttl_upsert(spark, sf_dir):
-    path, orders = scratch_dir(spark, "store"), view(spark, sf_dir, "orders")
-    upsert_job(spark, f"""select o_custkey as key, o_orderkey as value,
-                                 cast(o_orderdate as string) as ttl
-                          from {orders}""",
-               "tableflow.sinks.keyvalue:FolderClient", client_options={"path": path},
-               set_ttl=True, interval=30, unit="day", zone="UTC")
-    return spark.read.parquet(path)
+    """The rows that a store's clients are handed, one for each key."""
+    orders = view(spark, sf_dir, "orders")
+    return prepared_upsert(read_sql(spark, f"""
+        select o_custkey as key, o_orderkey as value, cast(o_orderdate as string) as ttl
+        from {orders}"""), set_ttl=True, interval=30, unit="day", zone="UTC").drop("bad_ttl")
 
 
 @query("""select c_name as key, c_mktsegment as value,
                  epoch_ms(timestamp '2024-02-28 23:30:00' + interval 45 minute) as expire_at_ms
           from customer""")
 def q_kv_ttl_upsert_common_time(spark, sf_dir):
-    path, customer = scratch_dir(spark, "store"), view(spark, sf_dir, "customer")
-    upsert_job(spark, f"select c_name as key, c_mktsegment as value from {customer}",
-               "tableflow.sinks.keyvalue:FolderClient", client_options={"path": path},
-               unique_keys=True, set_ttl=True, interval=45, unit="minute", zone="UTC",
-               current_time="2024-02-28 23:30:00")
+    """Distinct keys that share a base time, as Spark's own writer stores them."""
+    path, customer = scratch_dir(spark, "upserts"), view(spark, sf_dir, "customer")
+    rows = prepared_upsert(
+        read_sql(spark, f"select c_name as key, c_mktsegment as value from {customer}"),
+        unique_keys=True, set_ttl=True, interval=45, unit="minute", zone="UTC",
+        current_time="2024-02-28 23:30:00")
+    rows.drop("bad_ttl").write.parquet(path)
     return spark.read.parquet(path)

@@ -16,16 +16,13 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterComm
 from tableflow.functions.expiry import expire_at_ms
 from tableflow.functions.keycodec import encode_key, shard_id
 from tableflow.operators.placement import limit_writers
-from tableflow.scratch import checkpointed, ship_package, unique
+from tableflow.scratch import ship_package
 from tableflow.spec import SpecError, column
 
 # What stands for a missing key and a missing value.
 NULL_KEY = "NULl"
 NULL_VALUE = "NULL"
 
-# Shards up to this size are written as one file by one task.
-FILE_BYTES = 1 << 30
-
 
 # ---- upserts with expiry ---------------------------------------------------------------
 
@@ -81,18 +78,21 @@ def one_row_per_key(rows: DataFrame) -> DataFrame:
             .select("key", "best.value", "best.expire_at_ms", "bad_ttl"))
 
 
+def prepared_upsert(df: DataFrame, *, unique_keys: bool = False, **ttl) -> DataFrame:
+    """What an upsert hands to the store: ``key, value, expire_at_ms, bad_ttl``, a row for each
+    key. ``unique_keys`` promises distinct keys and saves the shuffle that makes them so."""
+    rows = upsert_rows(df, **ttl)
+    return rows if unique_keys else one_row_per_key(rows)
+
+
 def upsert(df: DataFrame, client: str, *, client_options: dict[str, str] | None = None,
            unique_keys: bool = False, writers: int | None = None, **ttl) -> None:
     """Set every key of ``df`` in the store behind ``client``, given as ``module:Class``.
 
     Upserts may be repeated without harm, so lost executors only cost time. A row whose base
-    time cannot be read deletes its key and fails the job. ``unique_keys`` promises distinct
-    keys and saves the shuffle that makes them so; ``writers`` bounds the clients at work.
+    time cannot be read deletes its key and fails the job. ``writers`` bounds the clients at work.
     """
-    rows = upsert_rows(df, **ttl)
-    if not unique_keys:
-        rows = one_row_per_key(rows)
-    rows = limit_writers(rows, writers)
+    rows = limit_writers(prepared_upsert(df, unique_keys=unique_keys, **ttl), writers)
     ship_package(df.sparkSession)
     df.sparkSession.dataSource.register(KeyValueStore)
     (rows.write.format(KeyValueStore.name()).mode("append")
@@ -100,63 +100,25 @@ def upsert(df: DataFrame, client: str, *, client_options: dict[str, str] | None
 
 
 class StoreClient:
-    """What a store has to offer; one client per task. Subclass it for a real store."""
+    """What a store has to offer; one client per task. Subclass it for a real store.
+
+    Both calls get Arrow batches and may come again for the same rows when a task is repeated.
+    """
 
     def __init__(self, options: dict[str, str], task: int):
         self.options, self.task = options, task
 
-    def put(self, keys: list[str], values: list[str], expire_at_ms: list[int | None]) -> None:
-        """Set a batch of keys; an expiry of None means the key stays for good."""
+    def put(self, batch: pa.RecordBatch) -> None:
+        """Set the keys of a batch of ``key, value, expire_at_ms``; a null expiry is never."""
         raise NotImplementedError
 
-    def delete(self, key: str) -> None:
+    def delete(self, keys: pa.Array) -> None:
         raise NotImplementedError
 
     def close(self, failed: bool) -> None:
         """Called once, after the last batch or a failure."""
 
 
-class FolderClient(StoreClient):
-    """A store made of parquet files in a shared folder, one per task: for tests and dry runs.
-
-    A task's file appears under its final name when the task is done; a repeated task
-    replaces it.
-    """
-
-    def __init__(self, options, task):
-        super().__init__(options, task)
-        from pyarrow import fs
-        self.fs, self.folder = fs.FileSystem.from_uri(_as_uri(options["path"]))
-        self.fs.create_dir(self.folder, recursive=True)
-        self.file = f"{self.folder}/part-{task:05d}.parquet"
-        self.stream = self.writer = None
-        self.pending = f"{self.folder}/.{unique('pending')}"
-
-    _SCHEMA = pa.schema([("key", pa.string()), ("value", pa.string()), ("expire_at_ms", pa.int64())])
-
-    def put(self, keys, values, expire_at_ms):
-        import pyarrow.parquet as pq
-        if self.writer is None:
-            self.stream = self.fs.open_output_stream(self.pending)
-            self.writer = pq.ParquetWriter(self.stream, self._SCHEMA)
-        self.writer.write_table(pa.table([keys, values, expire_at_ms], schema=self._SCHEMA))
-
-    def delete(self, key):
-        pass  # Nothing of a failed task is kept, so its keys are gone already.
-
-    def close(self, failed):
-        if self.writer is not None:
-            self.writer.close()
-            self.stream.close()
-            if not failed:
-                self.fs.move(self.pending, self.file)
-
-
-def _as_uri(path: str) -> str:
-    path = path.removeprefix("file:") if path.startswith("file:/") else path
-    return path if "://" in path else "file://" + "/" + path.lstrip("/")
-
-
 @dataclass
 class Written(WriterCommitMessage):
     rows: int
@@ -185,12 +147,12 @@ class _StoreWriter(DataSourceArrowWriter):
         rows, failed = 0, True
         try:
             for batch in iterator:
+                bad = batch.filter(batch["bad_ttl"])["key"]
                 good = batch.filter(pc.invert(batch["bad_ttl"]))
-                client.put(good["key"].to_pylist(), good["value"].to_pylist(),
-                           good["expire_at_ms"].to_pylist())
-                for key in batch.filter(batch["bad_ttl"])["key"].to_pylist():
-                    client.delete(key)
-                    raise ValueError(f"unreadable ttl for key {key!r}")
+                client.put(good.select(["key", "value", "expire_at_ms"]))
+                if len(bad):
+                    client.delete(bad)
+                    raise ValueError(f"unreadable ttl for key {bad[0].as_py()!r}")
                 rows += good.num_rows
             failed = False
         finally:
@@ -240,44 +202,41 @@ def with_shard(df: DataFrame, shards: int, key: Column | None = None) -> DataFra
     return df.withColumn("shard_id", shard_id(F.col("key") if key is None else key, shards))
 
 
-def newest_per_key(pairs: DataFrame) -> DataFrame:
-    """One pair per encoded key, the greatest value; combined before the shuffle."""
-    rest = [n for n in pairs.columns if n != "key_bytes"]
-    best = F.max(F.struct(*rest)).alias("best")
-    return pairs.groupBy("key_bytes").agg(best).select("key_bytes", "best.*")
+def newest_per_key(pairs: DataFrame, newest_by: str) -> DataFrame:
+    """One pair per encoded key, the one with the greatest ``newest_by`` (nulls are least).
+
+    Among pairs of equal age the greatest value stays. Copies are combined before the shuffle.
+    """
+    rest = [n for n in pairs.columns if n not in ("key_bytes", newest_by)]
+    best = F.max(F.struct(column(newest_by), *[column(n) for n in rest])).alias("best")
+    return (pairs.groupBy("key_bytes").agg(best)
+            .select("key_bytes", *[F.col("best")[n].alias(n) for n in rest]))
 
 
-def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *,
-                   file_bytes: int = FILE_BYTES, tasks: int | None = None,
-                   unique_keys: bool = True) -> None:
+def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *, tasks: int | None = None,
+                   one_file_per_shard: bool = False, newest_by: str | None = None) -> None:
     """Write pairs that carry ``shard_id`` to one folder per shard, sorted by key bytes.
 
-    The shards are measured first. While each fits ``file_bytes``, a shard is one file, written
-    by one task. Otherwise all pairs are cut into even, ordered runs of (shard, key): a shard or
-    key that holds much of the data is then spread over tasks and files, and the files of a
-    shard follow each other in key order. ``tasks`` asks for that many runs without measuring.
-    ``unique_keys=False`` first reduces repeated keys to one pair.
+    All pairs are cut into ``tasks`` even, ordered runs of (shard, key), each written by one
+    task: a shard or key that holds much of the data is spread over tasks and files, and the
+    files of a shard follow each other in key order. Without ``tasks`` there are as many runs as
+    ``spark.sql.shuffle.partitions`` says, whatever the data. ``one_file_per_shard`` gives each
+    shard to a single task instead, which then has to sort and write all of it.
+
+    ``newest_by`` names a column by which repeated keys are reduced to their newest pair; it is
+    not written. Without it pairs are written as they are.
     """
-    if not unique_keys:
-        # Kept in the checkpoint folder: measuring, sampling and writing each read the pairs.
-        pairs = checkpointed(newest_per_key(pairs))
-    if tasks is None:
-        sizes = shard_sizes(pairs)
-        if max(sizes.values(), default=0) > file_bytes:
-            tasks = max(shards, -(-sum(sizes.values()) // file_bytes))
-    if tasks is None:
+    if newest_by is not None:
+        pairs = newest_per_key(pairs, newest_by)
+    if one_file_per_shard:
+        if tasks is not None:
+            raise SpecError("one file per shard leaves no choice of tasks")
         placed = pairs.repartitionById(shards, F.col("shard_id"))
     else:
+        tasks = tasks or int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         # The input partition breaks ties between copies of one pair. It depends on where a
         # row comes from, not on row order, so a repeated task places its rows as before.
         placed = (pairs.withColumn("_origin", F.spark_partition_id())
                   .repartitionByRange(tasks, "shard_id", "key_bytes", "_origin").drop("_origin"))
     (placed.sortWithinPartitions("shard_id", "key_bytes")
      .write.mode("overwrite").partitionBy("shard_id").parquet(path))
-
-
-def shard_sizes(pairs: DataFrame) -> dict[int, int]:
-    """Bytes per shard; one row per shard comes to the driver."""
-    size = F.octet_length("key_bytes") + F.coalesce(F.octet_length("value_bytes"), F.lit(0))
-    sums = pairs.groupBy("shard_id").agg(F.sum(size.cast("bigint")).alias("bytes"))
-    return {row["shard_id"]: row["bytes"] for row in sums.collect()}

@@ -1,4 +1,5 @@
 import json
+import os
 
 import pytest
 
@@ -59,12 +60,14 @@ def test_import_and_other_kinds(spark, tmp_path):
 
 def test_key_value_kinds_and_migration(spark, tmp_path):
     source, pairs, records, store = (str(tmp_path / n) for n in ("rows", "pairs", "records", "store"))
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "folder_client.py"))
+    os.mkdir(store)
     spark.createDataFrame([("k", "v")], "key string, value string").write.parquet(source)
     run(tmp_path, "kv-export", {"segment": "s", "path": source, "output": pairs, "shards": 2})
     run(tmp_path, "kv-records", {"segment": "s", "path": pairs, "output": records})
     assert [(r.key, r.value) for r in spark.read.parquet(records).collect()] == [("k", "v")]
     run(tmp_path, "kv-upsert", {
-        "sql": f"select * from parquet.`{source}`", "client": "tableflow.sinks.keyvalue:FolderClient",
+        "sql": f"select * from parquet.`{source}`", "client": "folder_client:FolderClient",
         "client_options": {"path": store}, "set_ttl": False})
     assert [tuple(r) for r in spark.read.parquet(store).collect()] == [("k", "v", None)]
     table, copy = unique("first"), unique("second")
