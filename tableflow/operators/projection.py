@@ -51,14 +51,17 @@ def drop_partition_columns(df: DataFrame, spec: PartitionSpec) -> DataFrame:
 
 
 def in_target_order(df: DataFrame, target_columns: Sequence[str], *,
-                    allow_extra: bool = False) -> DataFrame:
-    """Select the target's columns by name, in its order, for a write by position."""
+                    leave_out: Iterable[str] = ()) -> DataFrame:
+    """Select the target's columns by name, in its order, for a write by position.
+
+    A column that the target lacks is an error, unless it is named to be left out.
+    """
     have = {n.lower() for n in df.columns}
     missing = [n for n in target_columns if n.lower() not in have]
-    extra = have - {n.lower() for n in target_columns}
+    extra = have - {n.lower() for n in target_columns} - {n.lower() for n in leave_out}
     if missing:
         raise SpecError(f"the target needs columns the query lacks: {missing}")
-    if extra and not allow_extra:
+    if extra:
         raise SpecError(f"the query has columns the target lacks: {sorted(extra)}")
     return df.select([column(n) for n in target_columns])
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 from tableflow.operators.placement import spread_over_files
-from tableflow.operators.projection import add_literals, cast_to_schema, require_not_null
+from tableflow.operators.projection import cast_to_schema, require_not_null
 from tableflow.sinks.lake import dynamic_overwrite
 from tableflow.sources.csvfiles import read_csv_like_table, read_csv_with_header
 from tableflow.spec import PartitionSpec, SpecError
@@ -24,4 +24,4 @@ def csv_load(spark: SparkSession, location: str, table: str, spec: PartitionSpec
         rows = read_csv_like_table(spark, location, table, spec)
     if primary_key:
         rows = require_not_null(rows, primary_key)
-    dynamic_overwrite(spread_over_files(add_literals(rows, spec), files), table)
+    dynamic_overwrite(spread_over_files(rows, files), table, spec, rebalance=not files)
