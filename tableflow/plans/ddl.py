@@ -33,14 +33,31 @@ def create_table_ddl(table: str, columns: Sequence[ColumnSpec], spec: PartitionS
 
 def create_like_ddl(table: str, schema: T.StructType, partition_keys: Sequence[str] = (), *,
                     provider: str = "parquet", location: str = "") -> str:
-    """CREATE TABLE text for a table with this schema, partition columns last."""
+    """CREATE TABLE text for a table with this schema, its comments too; partition columns last."""
     keys = [k.lower() for k in partition_keys]
     ordered = sorted(schema.fields, key=lambda f: keys.index(f.name.lower()) + 1
                      if f.name.lower() in keys else 0)
-    fields = [f"{quoted(f.name)} {f.dataType.simpleString()}" for f in ordered]
+    fields = [_field(f, " ") for f in ordered]
     return _create(table, fields, partition_keys, provider, location)
 
 
+def _field(field: T.StructField, separator: str) -> str:
+    comment = field.metadata.get("comment")
+    return (f"{quoted(field.name)}{separator}{_type_text(field.dataType)}"
+            + (f" COMMENT {sql_text(comment)}" if comment else ""))
+
+
+def _type_text(kind: T.DataType) -> str:
+    """A type as DDL text; names of nested fields are quoted, their comments kept."""
+    if isinstance(kind, T.StructType):
+        return f"struct<{', '.join(_field(f, ': ') for f in kind.fields)}>"
+    if isinstance(kind, T.ArrayType):
+        return f"array<{_type_text(kind.elementType)}>"
+    if isinstance(kind, T.MapType):
+        return f"map<{_type_text(kind.keyType)}, {_type_text(kind.valueType)}>"
+    return kind.simpleString()
+
+
 def add_columns_ddl(table: str, columns: Sequence[ColumnSpec]) -> str:
     fields = ", ".join(f"{quoted(c.name)} {spark_type_name(c.type)}" for c in columns)
     return f"ALTER TABLE {table} ADD COLUMNS ({fields})"

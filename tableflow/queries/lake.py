@@ -118,12 +118,30 @@ def q_migrate_partition(spark, sf_dir):
     return spark.table(target)
 
 
-@query("""select o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderpriority, o_orderstatus
+@query("""select o_orderkey, {'key-of': o_custkey, 'total': o_totalprice}['key-of'] as customer,
+                 o_totalprice as total, 'the order''s customer' as nested_comment,
+                 'its number' as column_comment, o_orderstatus
           from orders""")
 def q_migrate_full(spark, sf_dir):
-    source, target = partitioned_copy(spark, sf_dir), unique("orders_copy")
+    """A source with comments and a nested column whose field names need quotes."""
+    source, target = unique("orders_nested"), unique("orders_copy")
+    spark.sql(f"""create table {source} (
+                      o_orderkey bigint comment 'its number',
+                      placed struct<`key-of`: bigint comment 'the order\\'s customer', total: double>,
+                      o_orderstatus string)
+                  using parquet partitioned by (o_orderstatus)
+                  location '{scratch_dir(spark, "orders_nested")}'""")
+    dynamic_overwrite(load(spark, sf_dir, "orders").select(
+        "o_orderkey", F.struct(F.col("o_custkey").alias("key-of"), F.col("o_totalprice").alias("total"))
+        .alias("placed"), "o_orderstatus"), source)
     migrate(spark, source, target, location=scratch_dir(spark, "orders_copy"))
-    return spark.table(target)
+    copy = spark.table(target)
+    nested = copy.schema["placed"].dataType["key-of"].metadata.get("comment")
+    return copy.select(
+        "o_orderkey", F.col("placed.`key-of`").alias("customer"), F.col("placed.total").alias("total"),
+        F.lit(nested).alias("nested_comment"),
+        F.lit(copy.schema["o_orderkey"].metadata.get("comment")).alias("column_comment"),
+        "o_orderstatus")
 
 
 def order_job(target, location, spec, source="orders"):

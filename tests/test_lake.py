@@ -37,10 +37,51 @@ def content(spark, table):
 
 
 def test_static_replaces_one_partition_by_name(spark, base):
-    static_overwrite(spark.createDataFrame([("q", 7, 0)], "b string, a int, extra int"), base, D1)
+    rows = spark.createDataFrame([("q", 7, 0)], "b string, a int, extra int")
+    with pytest.raises(SpecError, match="extra"):
+        static_overwrite(rows, base, D1)
+    static_overwrite(rows, base, D1, leave_out=["Extra"])
     assert content(spark, base) == [(2, "y", "d2"), (7, "q", "d1")]
 
 
+def test_full_overwrite_refuses_columns_the_target_lacks(spark, base):
+    rows = spark.createDataFrame([("q", 7, 0, "d3")], "b string, a int, extra int, dt string")
+    with pytest.raises(SpecError, match="extra"):
+        full_overwrite(rows, base)
+    assert len(content(spark, base)) == 2
+    full_overwrite(rows, base, leave_out=["extra"])
+    assert content(spark, base) == [(7, "q", "d3")]
+
+
+def test_writes_to_many_partitions_make_few_files(spark, base):
+    rows = spark.range(0, 4000, 1, 8).selectExpr("cast(id as int) as a", "'x' as b",
+                                                 "concat('p', id % 50) as dt")
+    copy, location = unique("copy"), scratch_dir(spark, "copy")
+    for write in (lambda: dynamic_overwrite(rows, base), lambda: full_overwrite(rows, base)):
+        write()
+        files = spark.table(base).select("_metadata.file_path").distinct().count()
+        assert spark.table(base).count() >= 4000 and files <= 60
+    migrate(spark, base, copy, location=location)
+    assert spark.table(copy).select("_metadata.file_path").distinct().count() <= 60
+    # One partition that the spec names needs no shuffle.
+    dynamic_overwrite(rows.drop("dt"), base, D1)
+    assert spark.table(base).where("dt = 'd1'").select("_metadata.file_path").distinct().count() == 8
+
+
+def test_migration_keeps_comments_and_nested_names(spark):
+    source, target = unique("source"), unique("target")
+    spark.sql(f"""create table {source} (a int comment 'the a', s struct<`a-b`: int comment 'inner',
+                  m: map<string, array<struct<`x y`: int>>>>, dt string comment 'day')
+                  using parquet partitioned by (dt) location '{scratch_dir(spark, "source")}'""")
+    spark.sql(f"insert into {source} select 1, named_struct('a-b', 2, 'm', map('k', "
+              "array(named_struct('x y', 3)))), 'd1'")
+    migrate(spark, source, target, location=scratch_dir(spark, "target"))
+    assert spark.table(target).schema == spark.table(source).schema
+    assert spark.table(target).schema["a"].metadata["comment"] == "the a"
+    assert spark.table(target).schema["s"].dataType["a-b"].metadata["comment"] == "inner"
+    assert content(spark, target) == content(spark, source)
+
+
 def test_static_with_no_rows_empties_and_dynamic_keeps(spark, base):
     none = spark.createDataFrame([], "a int, b string")
     dynamic_overwrite(none, base, D1)

@@ -10,9 +10,13 @@ from tableflow.functions.expiry import expire_at_ms
 from tableflow.functions.keycodec import decode_key
 from tableflow.operators.projection import project
 from tableflow.operators.report import report_lines
+from tableflow.plans.ddl import create_like_ddl
 from tableflow.queries import QUERIES
 from tableflow.queries.registry import col, load
+from tableflow.scratch import scratch_dir, unique
+from tableflow.sinks import lake
 from tableflow.sinks.keyvalue import encoded_pairs, one_row_per_key, upsert_rows, with_shard
+from tableflow.spec import PartitionSpec
 
 
 def plan(df):
@@ -69,6 +73,27 @@ def test_repeated_keys_are_combined_before_the_shuffle(spark):
     assert text.count("Exchange") >= 1 and "partial_max" in text
 
 
+def test_writes_to_several_partitions_are_rebalanced(spark, monkeypatch):
+    """Small partitions are written together, large ones split; one named partition moves nothing."""
+    rows = spark.range(10).selectExpr("id as a", "cast(id % 3 as string) as p",
+                                      "cast(id % 2 as string) as q")
+    table, seen = unique("rebalanced"), []
+    spark.sql(create_like_ddl(table, rows.schema, ["p", "q"], location=scratch_dir(spark, table)))
+    insert = lake._insert_overwrite
+
+    def noted(df, table, mode, spread, partition=""):
+        seen.append(spread)
+        insert(df, table, mode, spread, partition)
+
+    monkeypatch.setattr(lake, "_insert_overwrite", noted)
+    lake.dynamic_overwrite(rows, table)
+    lake.dynamic_overwrite(rows.drop("p"), table, PartitionSpec.parse("p=1"))
+    lake.dynamic_overwrite(rows.select("a"), table, PartitionSpec.parse("p=1,q=2"))
+    assert seen == [["`p`", "`q`"], ["`q`"], []]
+    hinted = spark.sql("select /*+ REBALANCE(`p`) */ * from {rows}", rows=rows)
+    assert "REBALANCE_PARTITIONS_BY_COL" in plan(hinted)
+
+
 def test_job_projection_reads_only_configured_columns(spark):
     df = project(load(spark, TABLES_DIR, "lineitem"), [
         col("l_orderkey", "bigint"), col("l_shipdate", "string", ("substr", "1", "10"))])
