@@ -7,7 +7,7 @@ import operator
 import re
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +42,19 @@ def predicate(spec: ColumnSpec, func: FuncSpec, actual: T.DataType, escaped: boo
         return _compare_number(compare, raw, _number(value), actual)
     literal = parameter(value, escaped)
     if not isinstance(actual, T.StringType):
-        literal = lenient_cast(literal, T.StringType(), _comparison_type(actual))
+        kind = _comparison_type(actual)
+        literal = lenient_cast(literal, T.StringType(), kind)
+        # A condition with an unreadable value would be null and drop every row.
+        if _constant(literal) is None:
+            raise SpecError(f"the filter of column {spec.name!r} compares a {kind} with {value!r}")
     return compare(raw, literal)
 
 
+def _constant(value: Column):
+    """What a column expression without input gives; the optimizer answers, no job runs."""
+    return SparkSession.active().sql("select 1").select(value).first()[0]
+
+
 def conjunction(specs: list[ColumnSpec], schema: T.StructType, escaped: bool = False) -> Column | None:
     """All filters of all columns, or None where there are none."""
     types = {f.name.lower(): f.dataType for f in schema.fields}
