@@ -84,10 +84,11 @@ def q_csv_schema_from_target(spark, sf_dir):
 
 
 @query("""select n_name, count(*) as order_count,
-                 cast(sum(cast(o_totalprice as decimal(18, 2))) as decimal(38, 2)) as revenue
+                 cast(sum(cast(o_totalprice as decimal(18, 2))) as decimal(38, 2)) as revenue,
+                 cast(sum(case when c_mktsegment = 'MACHINERY' then 1 else 0 end) as bigint)
+                   as segment_orders
           from customer join orders on o_custkey = c_custkey
                join nation on n_nationkey = c_nationkey
-          where c_mktsegment = 'MACHINERY'
           group by n_name""")
 def q_sql_passthrough(spark, sf_dir):
     customer, orders, nation = (view(spark, sf_dir, n) for n in ("customer", "orders", "nation"))
@@ -96,10 +97,10 @@ def q_sql_passthrough(spark, sf_dir):
         with per_customer as (
             select o_custkey, count(*) as orders, sum(cast(o_totalprice as decimal(18, 2))) as total
             from {orders} group by o_custkey)
-        select n_name, sum(orders) as order_count, cast(sum(total) as decimal(38, 2)) as revenue
+        select n_name, sum(orders) as order_count, cast(sum(total) as decimal(38, 2)) as revenue,
+               sum(if(c_mktsegment = :segment, orders, 0)) as segment_orders
         from per_customer join {customer} on o_custkey = c_custkey
              join {nation} on n_nationkey = c_nationkey
-        where c_mktsegment = :segment
         group by n_name""", {"segment": "MACHINERY"})
 
 

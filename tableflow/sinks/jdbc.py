@@ -28,7 +28,6 @@ class Dialect:
 
     driver: str
     batch_size: int
-    writers: int | None = None
     staging: str = ""
     partition_type: str = "VARCHAR(255)"
     comments: bool = True
@@ -36,12 +35,13 @@ class Dialect:
     can_create: bool = True
 
 
-# Drivers, batch sizes and writer counts of the supported databases.
+# Drivers of the supported databases. Batch sizes are defaults, see BATCH_SIZE_CONF;
+# a task holds a batch in memory. No database bounds its writers by default, see WRITERS_CONF.
 DIALECTS = {
     "mysql": Dialect("com.mysql.jdbc.Driver", 1000,
                      staging="CREATE TABLE {staging} LIKE {table}"),
     "doris": Dialect("com.mysql.jdbc.Driver", 5000, can_create=False),
-    "clickhouse": Dialect("ru.yandex.clickhouse.ClickHouseDriver", 10_000_000, writers=5,
+    "clickhouse": Dialect("ru.yandex.clickhouse.ClickHouseDriver", 50_000,
                           partition_type="String"),
     "derby": Dialect("org.apache.derby.iapi.jdbc.AutoloadedDriver", 1000,
                      staging="CREATE TABLE {staging} AS SELECT * FROM {table} WITH NO DATA",
@@ -128,10 +128,11 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
     or a repeated task can then neither leave the partition empty nor double its rows: a
     load that does not hold what was written is thrown away and repeated.
     Directly: delete, then append; a failure in between has to be answered by a new run.
+    ``writers`` bounds the connections at work; without it every task opens one.
     """
     spark, kind = df.sparkSession, dialect(db_type)
     batch = batch_size or int(spark.conf.get(BATCH_SIZE_CONF, "") or kind.batch_size)
-    rows = limit_writers(df, writers or int(spark.conf.get(WRITERS_CONF, "") or kind.writers or 0))
+    rows = limit_writers(df, writers or int(spark.conf.get(WRITERS_CONF, "") or 0))
     clear = clear_statement(db_type, table, spec, lambda name: connection.quote(spark, name))
     if staged is None:
         staged = bool(kind.staging)
