@@ -188,9 +188,9 @@ def as_words(column: pa.Array) -> Texts:
     sizes = last - first + 1
     ends = np.cumsum(sizes)
     found = np.full(int(ends[-1]) if len(ends) else 0, 32, np.uint8)
-    own = ends - sizes
-    found[np.arange(int((last - first).sum())) + np.repeat(np.arange(len(own)), last - first)] = \
-        data[~white]
+    own, letters = ends - sizes, np.ones(len(found), bool)
+    letters[ends - 1] = False
+    found[letters] = data[~white]
     return Texts(found, np.searchsorted(first, offsets).astype(np.int64), (own, ends - 1))
 
 
