@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.arrow import appended, texts
-from tableflow.llm.tokens import ByParts
+from tableflow.llm.tokens import ByParts, byte_characters, visible
 from tableflow.scratch import ship_package
 
 #: Field numbers and values of the sentencepiece model format (fixed).
@@ -28,19 +28,6 @@ NORMAL, UNKNOWN, UNUSED = 1, 2, 5
 BPE = 2
 
 
-def byte_characters() -> list[str]:
-    """A visible character for each byte: itself where it is one, else from U+0100 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    found, more = [], 0x100
-    for byte in range(256):
-        if byte in shown:
-            found.append(chr(byte))
-        else:
-            found.append(chr(more))
-            more += 1
-    return found
-
-
 def read_ranks(path: str) -> dict[bytes, int]:
     """A rank file: a base64 byte string and its rank in each line."""
     with open(path, "rb") as lines:
@@ -89,22 +76,19 @@ class Codec:
         ranks = read_ranks(path)
         self.model = sentencepiece.SentencePieceProcessor(model_proto=serialised(ranks))
         self.find = regex.compile(pattern).findall
-        self.shown = dict(enumerate(byte_characters()))
         self.bytes = [b""] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
             self.bytes[rank] = piece
         self.decimals = [str(rank) for rank in range(len(self.bytes))]
-        self.whole = {piece.decode("latin-1").translate(self.shown): rank
-                      for piece, rank in ranks.items()}
+        self.whole = ranks
         self.ids_bytes = ByParts(self.part_ids).ids
 
     def part_ids(self, part: str) -> bytes:
         found = []
         for token in self.find(part):
-            piece = token.encode().decode("latin-1").translate(self.shown)
-            rank = self.whole.get(piece)
+            rank = self.whole.get(token.encode())
             if rank is None:
-                found += self.model.encode(piece)
+                found += self.model.encode(visible(token))
             else:
                 found.append(rank)
         return np.array(found, "<u4").tobytes()

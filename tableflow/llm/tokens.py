@@ -10,27 +10,52 @@ from __future__ import annotations
 import numpy as np
 from tokenizers import Tokenizer
 
-#: Parts kept by a worker; beyond that it starts anew, so that its memory is bounded.
-KEPT_PARTS = 400_000
+#: Parts and words that a worker keeps in each of two generations, so that its memory is bounded.
+KEPT = 300_000
+#: Marks that end a word; each is itself in a byte-level vocabulary's characters.
+MARKS = ".,;:!?"
 
 
-class _Irregular(Exception):
-    """A part that can't be told apart from its neighbours."""
+def byte_characters() -> list[str]:
+    """A visible character for each byte: itself where it is one, else from U+0100 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    found, more = [], 0x100
+    for byte in range(256):
+        if byte in shown:
+            found.append(chr(byte))
+        else:
+            found.append(chr(more))
+            more += 1
+    return found
 
 
-class _Parts(dict):
-    """Ids (little-endian unsigned 32-bit) by the part that a space goes before."""
+_SHOWN = dict(enumerate(byte_characters()))
 
-    def __init__(self, encode):
-        self.encode = encode
 
-    def __missing__(self, part: str) -> bytes:
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise _Irregular
-        if len(self) >= KEPT_PARTS:
+def visible(text: str) -> str:
+    """The text's bytes as the characters that stand for them in byte-level vocabularies."""
+    return text.encode().decode("latin-1").translate(_SHOWN)
+
+
+class Kept(dict):
+    """Results by text. A full generation becomes the old one; what is used again is kept."""
+
+    def __init__(self, compute):
+        self.compute, self.old = compute, {}
+
+    def __missing__(self, text: str) -> bytes:
+        if len(self) >= KEPT:
+            self.old = dict(self)
             self.clear()
-        ids = self[part] = self.encode(" " + part)
-        return ids
+        found = self.old.get(text)
+        if found is None:
+            found = self.compute(text)
+        self[text] = found
+        return found
+
+
+class _Irregular(Exception):
+    """A part that can't be told apart from its neighbours."""
 
 
 class ByParts:
@@ -38,7 +63,12 @@ class ByParts:
 
     def __init__(self, encode):
         self.encode = encode
-        self.parts = _Parts(encode)
+        self.parts = Kept(self.part_ids)  # by the part that a space goes before
+
+    def part_ids(self, part: str) -> bytes:
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _Irregular
+        return self.encode(" " + part)
 
     def ids(self, text: str) -> bytes:
         first, *rest = text.split(" ")
@@ -66,7 +96,8 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = Kept(self.piece_ids)  # by the pre-token's visible characters
+        self.words = Kept(self.word_ids)
         split = repr(self.tokenizer.pre_tokenizer)
         by_words = self.tokenizer.normalizer is None and split.startswith("ByteLevel(") \
             and "add_prefix_space=False" in split and "use_regex=True" in split
@@ -76,17 +107,20 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
                         "<u4").tobytes()
 
+    def piece_ids(self, piece: str) -> bytes:
+        return np.array([token.id for token in self.tokenizer.model.tokenize(piece)],
+                        "<u4").tobytes()
+
+    def word_ids(self, word: str) -> bytes:
+        return self.piece_ids(visible(word))
+
     def part_ids(self, part: str) -> bytes:
-        found = []
-        for piece, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(part):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                if len(self.pieces) >= KEPT_PARTS:
-                    self.pieces.clear()
-                ids = self.pieces[piece] = np.array(
-                    [token.id for token in self.tokenizer.model.tokenize(piece)], "<u4").tobytes()
-            found.append(ids)
-        return b"".join(found)
+        word = part.rstrip(MARKS)
+        if word[1:].isalpha() and word[0] == " ":  # letters are one pre-token, marks another
+            marks = part[len(word):]
+            return self.words[word] + (self.words[marks] if marks else b"")
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(part)
+        return b"".join([self.pieces[piece] for piece, _ in split])
 
 
 def regular_runs(text: str) -> list[str]:
