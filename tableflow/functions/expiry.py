@@ -39,12 +39,13 @@ def expire_at_ms(base: Column, interval: int, unit: str, zone: str | None = None
 
 def _local_seconds(base: Column) -> Column:
     """Seconds from 1970 to the base time on the local clock; null when unreadable."""
-    # Full-width fields, the usual case, are cut out by position; this takes half the time.
-    plain = _seconds([F.nullif(F.substring(base, start, width), F.lit(""))
-                      for start, width in ((1, 4), (6, 2), (9, 2), (12, 2), (15, 2), (18, 2))])
+    # Full-width fields, the usual case, are read by Spark's own parser; what it refuses, such as
+    # February 30th, and all other text goes the lenient way.
+    moment = F.when(base.rlike(_PLAIN), base.try_cast("timestamp_ntz"))
+    plain = (F.unix_date(moment.cast("date")).cast("bigint") * 86_400 + F.hour(moment) * 3_600
+             + F.minute(moment) * 60 + F.second(moment))
     numbers = F.regexp_extract_all(F.regexp_extract(base, _READABLE, 0), F.lit(r"\d+"), F.lit(0))
-    lenient = _seconds([F.get(numbers, F.lit(i)) for i in range(6)])
-    return F.coalesce(F.when(base.rlike(_PLAIN), plain), lenient)
+    return F.coalesce(plain, _seconds([F.get(numbers, F.lit(i)) for i in range(6)]))
 
 
 def _seconds(fields: list[Column]) -> Column:
