@@ -121,10 +121,12 @@ def good_documents(docs: DataFrame, text: str = "text", host: str = "source",
     """The documents that the rules keep, with all their columns and nothing else.
 
     The texts are measured once for the hosts' rates and once for the documents' own verdicts, so
-    that no text is shuffled or stored: only the names of rejected hosts meet the documents.
+    that no text is shuffled or stored: only the names of rejected hosts meet the documents. They
+    are written first: Spark then knows their size, and sends them to all tasks if they are few.
     """
-    rejected = host_verdicts(measured(docs, text, host, []), limit).where("host_rejected") \
-        .select(F.col("host").alias("judged_host"))
+    verdicts = host_verdicts(measured(docs, text, host, []), limit)
+    rejected = written(verdicts.where("host_rejected")
+                       .select(F.col("host").alias("judged_host")), "rejected_hosts")
     found = measured(docs, text, host).where("not base_failed")
     kept = found.join(rejected, found["host"].eqNullSafe(rejected["judged_host"]), "left_anti")
     return kept.select(*[F.col(f"row.`{name}`").alias(name) for name in docs.columns])
