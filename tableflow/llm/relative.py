@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tableflow.llm.windows import _BYTE, _FIRST, _WORD, Search, Texts, as_words, \
-    searched, span_hashes
+from tableflow.llm.windows import _FIRST, Search, Texts, as_words, searched, span_hashes, \
+    word_hashes
 
 SIZE = 50
 ANCHOR = 8
@@ -31,7 +31,7 @@ def judge(data: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> np.ndarray:
     begins = ends - np.diff(ends, prepend=0)
     first = np.sort(np.concatenate([begins, spaces + 1]))
     last = np.sort(np.concatenate([ends, spaces]))
-    words = span_hashes(_BYTE[data], first, last, _WORD)
+    words = word_hashes(data, first, last)
     from_word = np.searchsorted(first, begins)
     counts = np.diff(np.append(from_word, len(first))) - SIZE + 1
     start = np.arange(int(counts.sum())) + np.repeat(

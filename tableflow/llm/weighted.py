@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.arrow import appended, slices, texts
 from tableflow.llm.bitpack import partitions
-from tableflow.llm.windows import _BYTE, _FIRST, _WORD, as_words, blocks_of, mixed, span_hashes
+from tableflow.llm.windows import as_words, blocks_of, mixed, word_hashes
 from tableflow.scratch import ship_package, written
 
 SAMPLES = 64
@@ -65,7 +65,7 @@ def signatures(column: list[str]) -> np.ndarray:
     """The signatures of texts, one row each."""
     split = as_words(pa.array(column, pa.large_string()))
     first, last = split.words
-    words = span_hashes(_BYTE[split.data], first, last, _WORD)
+    words = word_hashes(split.data, first, last)
     pairs = mixed(blocks_of(words, 2)[0]) if len(words) > 1 else words[:0]
     low = np.uint64(BINS - 1)
     words, pairs = (words & low).astype(np.int64), (pairs & low).astype(np.int64)

@@ -51,9 +51,8 @@ U = np.uint64
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _MIX, _MIX2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
-#: Multipliers of the polynomial hashes: of words, of anchors, and two more of spans.
-_WORD, _ANCHOR, _FIRST, _SECOND = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), \
-    U(0xA0761D6478BD642F), U(0xE7037ED1A0B428DB)
+#: Multipliers of the polynomial hashes: of words, of anchors, and of longer spans.
+_WORD, _ANCHOR, _FIRST = U(0x9E3779B97F4A7C15), U(0xD6E8FEB86659FD93), U(0xA0761D6478BD642F)
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -98,6 +97,29 @@ def span_hashes(units: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     return mixed(found + (ends - starts).astype(np.uint64) * _MIX)
 
 
+def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """The hash of each word of the bytes; words follow each other."""
+    found = np.empty(len(first), np.uint64)
+    for low in range(0, len(first), 1 << 13):
+        begin, end = first[low:low + (1 << 13)], last[low:low + (1 << 13)]
+        at = begin[0]
+        found[low:low + (1 << 13)] = span_hashes(_BYTE[data[at:end[-1]]], begin - at, end - at,
+                                                 _WORD)
+    return found
+
+
+def word_heads(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Each word's length and first seven bytes, which with its hash tell it from all others."""
+    sizes = (last - first).astype(np.uint64)
+    found = sizes << U(56)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    for i in range(7):
+        own = padded[first + i].astype(np.uint64) << U(8 * i)
+        own[sizes <= U(i)] = 0
+        found |= own
+    return found
+
+
 def blocks_of(units: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
     """The hash of every ``size`` consecutive units; and of the largest power of two in it."""
     found, held = None, 0
@@ -157,9 +179,7 @@ class Texts:
             return _BYTE[self.data[start:end]]
         if start >= end:
             return np.zeros(0, np.uint64)
-        first, last = self.words[0][start:end], self.words[1][start:end]
-        low = first[0]
-        return span_hashes(_BYTE[self.data[low:last[-1]]], first - low, last - low, _WORD)
+        return word_hashes(self.data, self.words[0][start:end], self.words[1][start:end])
 
     def byte_spans(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The bytes of spans of units (of one unit at least)."""
