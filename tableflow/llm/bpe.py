@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.arrow import appended, texts
-from tableflow.llm.tokens import ByParts, byte_characters, visible
+from tableflow.llm.tokens import ByParts, byte_characters, packed_ids, visible
 from tableflow.scratch import ship_package
 
 #: Field numbers and values of the sentencepiece model format (fixed).
@@ -91,7 +91,7 @@ class Codec:
                 found += self.model.encode(visible(token))
             else:
                 found.append(rank)
-        return np.array(found, "<u4").tobytes()
+        return packed_ids(found)
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.ids_bytes(text), "<u4").tolist()

@@ -7,11 +7,14 @@ library's own pre-tokenizer and model when it is first met.
 
 from __future__ import annotations
 
-import numpy as np
+import sys
+from array import array
+from collections.abc import Iterable
+
 from tokenizers import Tokenizer
 
 #: Parts and words that a worker keeps in each of two generations, so that its memory is bounded.
-KEPT = 300_000
+KEPT = 600_000
 #: Marks that end a word; each is itself in a byte-level vocabulary's characters.
 MARKS = ".,;:!?"
 
@@ -104,23 +107,37 @@ class Encoder:
         self.ids = ByParts(self.part_ids).ids if by_words else self.whole_ids
 
     def whole_ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids,
-                        "<u4").tobytes()
+        return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def piece_ids(self, piece: str) -> bytes:
-        return np.array([token.id for token in self.tokenizer.model.tokenize(piece)],
-                        "<u4").tobytes()
+        return packed_ids(token.id for token in self.tokenizer.model.tokenize(piece))
 
     def word_ids(self, word: str) -> bytes:
         return self.piece_ids(visible(word))
 
     def part_ids(self, part: str) -> bytes:
-        word = part.rstrip(MARKS)
-        if word[1:].isalpha() and word[0] == " ":  # letters are one pre-token, marks another
-            marks = part[len(word):]
-            return self.words[word] + (self.words[marks] if marks else b"")
-        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(part)
-        return b"".join([self.pieces[piece] for piece, _ in split])
+        found = []
+        for line in part.split("\n"):
+            word = line.rstrip(MARKS)
+            letters = word[1:] if word[:1] == " " else word
+            if not letters.isalpha():  # left to the library
+                split = self.tokenizer.pre_tokenizer.pre_tokenize_str(part)
+                return b"".join([self.pieces[piece] for piece, _ in split])
+            # letters are one pre-token, marks after them another, a line's end between them too
+            if found:
+                found.append(self.words["\n"])
+            found.append(self.words[word])
+            if len(word) < len(line):
+                found.append(self.words[line[len(word):]])
+        return b"".join(found)
+
+
+def packed_ids(ids: Iterable[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
 
 
 def regular_runs(text: str) -> list[str]:

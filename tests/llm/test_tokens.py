@@ -21,7 +21,7 @@ MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ODD = ["", " ", "a", " a", "a ", "a  b", "a \nb", "a\n b", "\n\n a", "it's  we'll  ", "x  y",
        "x  y", " 　 ", "1 2  3", "<|endoftext|> a", "a <|endoftext|>", "\U0001f600 é",
        "tab\t tab \t", "a\x1c b", "\x85 \x85", "don 't 'll", "▁ ▁x", "\x00 \x00",
-       "<unused 1> <unk> <s>", "a" * 3000 + " " + "é" * 500]
+       "<unused 1> <unk> <s>", "a b.\nC d,\n\ne f\n g\nh. i.\n", "\na b", "é.\nÉ!? x.y a.\n.b '\nc", "a" * 3000 + " " + "é" * 500]
 
 
 @pytest.fixture(scope="module")
