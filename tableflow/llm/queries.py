@@ -137,11 +137,44 @@ def op3_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op3_suffix_array"] = """
+with d as (select doc_id, regexp_extract_all(hex(encode(coalesce(text, ''))), '..') bytes
+  from documents),
+b as (select doc_id, unnest(bytes) byte, unnest(range(len(bytes))) i, len(bytes) n from d),
+k as (select doc_id, i, string_agg(byte, '') over (partition by doc_id order by i
+    rows between current row and 49 following) string, n from b where n >= 50),
+m as (select doc_id, i, min(doc_id) over (partition by string) least from k where i <= n - 50),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) i from m where least < doc_id),
+spans as (select doc_id, count(*) n_spans from (
+    select doc_id, i, lag(i) over (partition by doc_id order by i) before from gone)
+  where before is null or before < i - 1 group by doc_id),
+kept as (select doc_id, count(*) n_kept, string_agg(byte, '' order by i) digits
+  from b anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, len(bytes) n_bytes, len(bytes) - coalesce(n_kept, 0) n_removed,
+  coalesce(n_spans, 0) n_spans, sha256(unhex(coalesce(kept.digits, ''))) kept_sha256
+from d left join kept on kept.doc_id = d.doc_id left join spans on spans.doc_id = d.doc_id"""
+
+
 @query
 def op6_relative_lempel_ziv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return relative.without_repeats(table(spark, sf_dir, "documents"))
 
 
+ORACLES["op6_relative_lempel_ziv"] = r"""
+with d as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') words
+  from documents),
+w as (select doc_id, unnest(words) word, unnest(range(len(words))) i, len(words) n from d),
+k as (select doc_id, i, string_agg(word, ' ') over (partition by doc_id order by i
+    rows between current row and 49 following) passage, n from w where n >= 50),
+m as (select doc_id, i, min(doc_id) over (partition by passage) least from k where i <= n - 50),
+gone as (select distinct doc_id, unnest(range(i, i + 50)) i from m where least < doc_id),
+kept as (select doc_id, count(*) n_kept, string_agg(word, ' ' order by i) text
+  from w anti join gone using (doc_id, i) group by doc_id)
+select d.doc_id, len(words) n_words, len(words) - coalesce(n_kept, 0) n_removed,
+  sha256(coalesce(kept.text, '')) kept_sha256
+from d left join kept on kept.doc_id = d.doc_id"""
+
+
 @query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
