@@ -75,7 +75,7 @@ ORACLES["op1_quality_rules"] = _quality_sql()
 def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2k (chosen) and 2k + 1 (rejected) are the pair k."""
     turns = table(spark, sf_dir, "conversations")
-    pairs = chat.preferences(turns, F.floor(turns["conv_id"] / 2),
+    pairs = chat.preferences(turns, F.shiftright(turns["conv_id"], 1),
                              F.expr("pmod(conv_id, 2) = 0"))
     return pairs.select(
         "pair_id", "n_common", "prompt", chat.completion_text("chosen").alias("chosen"),
