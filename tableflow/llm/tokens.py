@@ -92,19 +92,29 @@ class ByParts:
 class Encoder:
     """Encodes texts as ``Tokenizer.encode(text, add_special_tokens=False)`` would.
 
-    The strings of special tokens in a text are ordinary text.
+    With ``added`` the strings of added tokens in a text get those tokens' ids, as they do in an
+    unchanged tokenizer; texts that hold one are left to the library. Without it they are
+    ordinary text (the library's ``encode_special_tokens``).
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.vocabulary = self.tokenizer.get_vocab_size()
         self.pieces = Kept(self.piece_ids)  # by the pre-token's visible characters
         self.words = Kept(self.word_ids)
         split = repr(self.tokenizer.pre_tokenizer)
         by_words = self.tokenizer.normalizer is None and split.startswith("ByteLevel(") \
             and "add_prefix_space=False" in split and "use_regex=True" in split
-        self.ids = ByParts(self.part_ids).ids if by_words else self.whole_ids
+        self.ids = self.joined_ids = ByParts(self.part_ids).ids if by_words else self.whole_ids
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
+        if added and by_words:
+            self.ids = self.ids_with_added
+
+    def ids_with_added(self, text: str) -> bytes:
+        if any(token in text for token in self.added):
+            return self.whole_ids(text)
+        return self.joined_ids(text)
 
     def whole_ids(self, text: str) -> bytes:
         return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -157,7 +167,7 @@ _encoders: dict[str, Encoder] = {}
 
 
 def encoder(path: str) -> Encoder:
-    """The encoder of this worker for a tokenizer file."""
+    """The encoder of this worker for a tokenizer file, added tokens included."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, added=True)
     return _encoders[path]

@@ -48,6 +48,30 @@ def test_word_tokenizer_is_left_whole():
             other.encode(text, add_special_tokens=False).ids
 
 
+def test_added_tokens_equal_the_unchanged_library(spark):
+    other = Tokenizer.from_file(BPE)
+    texts = [*ODD, "one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b.\n <|endoftext|>",
+             "<|endoftext|", " ".join(["de la"] * 300) + "\n<|endoftext|><|endoftext|> x  y"]
+    ids = [other.encode(text, add_special_tokens=False).ids for text in texts]
+    assert ids[len(ODD)] == [505, 220, 50256, 734]
+    own = Encoder(BPE, added=True)
+    assert [np.frombuffer(own.ids(text), "<u4").tolist() for text in texts] == ids
+    docs = spark.createDataFrame([(i, text, "en", "src", len(text)) for i, text in enumerate(texts)],
+                                 "doc_id long, text string, lang string, source string, n_chars long")
+    held = {row["doc_id"]: tuple(row)[1:] for row in
+            bitpack.read_images(bitpack.write_images(docs, BPE, 2)).collect()}
+    found = defaultdict(list)
+    for row in packing.sequences(packing.packed(docs, BPE, with_ids=True), pad_id=0).collect():
+        found[row["sequence_id"]] = row["ids"][:row["n_tokens"]]
+    start = 0
+    for i, one in enumerate(ids):
+        one = one + [2]
+        assert held[i] == (start, len(one), zlib.crc32(np.array(one, "<u4").tobytes()))
+        start += len(one)
+    stream = [one for number in sorted(found) for one in found[number]]
+    assert sorted(stream) == sorted(sum(ids, []) + [0] * len(ids))
+
+
 @pytest.fixture(scope="module")
 def rank_encoding():
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN,
