@@ -266,7 +266,12 @@ def representatives(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     Of repeated rows with that id and the same text one stays. Documents without an id can't be
     told from each other by a join: all of them stay.
     """
-    kept = near_duplicates(docs, doc_id, text, distance).where("doc_id = component_id") \
+    return one_each(docs, near_duplicates(docs, doc_id, text, distance), doc_id, text)
+
+
+def one_each(docs: DataFrame, groups: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The documents whose ``doc_id`` is their group's ``component_id``."""
+    kept = groups.where("doc_id = component_id") \
         .select(F.col("doc_id").alias("kept_id")).distinct()
     known = docs.where(docs[f"`{doc_id}`"].isNotNull())
     row = F.struct(F.lit(True).alias("__row"), *[known[f"`{name}`"] for name in docs.columns])
