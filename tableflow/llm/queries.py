@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableflow.llm import bitpack, bpe, chat, mixing, packing, quality, relative, simhash, \
-    suffixes, weighted
+    simplex, suffixes, trie, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -189,3 +189,58 @@ def op8_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = trie.digests(documents, public_tokenizers.path("word_bpe_49k.json"))
+    return found.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op13_simplex_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = simplex.clustered(vectors)
+    return found.select("row.vec_id", "cluster", "distance", "cluster_inertia", "inertia",
+                        "centroid_sha256")
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10, size: int = 64) -> str:
+    def assigned(number: int) -> str:
+        return f"""a{number} as materialized (
+  select n, cluster, distance from (
+    select n, cluster, distance, row_number() over (partition by n order by distance, cluster) first
+    from (select n, cluster, sum((v.x - c.x) * (v.x - c.x))::bigint distance
+          from x v join c{number} c using (i) group by n, cluster)) where first = 1)"""
+
+    def moved(number: int) -> str:
+        return f"""c{number + 1} as materialized (
+  select cluster, i, coalesce((total - (total % members + members) % members) // members, c.x) x
+  from c{number} c left join (
+    select cluster, i, sum(x)::hugeint total, count(*) members
+    from a{number} join x using (n) group by cluster, i) using (cluster, i))"""
+
+    steps = ",\n".join(f"{assigned(r)},\n{moved(r)}" for r in range(rounds))
+    return f"""
+with v as materialized (
+  select row_number() over () n, vec_id, units from (
+    select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)::bigint) units
+    from embeddings where len(embedding) = {size}
+      and len(list_filter(embedding, lambda x: isfinite(x))) = {size})),
+x as materialized (select n, unnest(units) x, unnest(range({size})) i from v),
+c0 as materialized (
+  select cluster, unnest(units) x, unnest(range({size})) i from (
+    select units, row_number() over (order by sha256('3:' || vec_id), units) - 1 cluster from v)
+  where cluster < {k}),
+{steps},
+{assigned(rounds)},
+sums as (select cluster, sum(distance)::bigint cluster_inertia from a{rounds} group by cluster),
+points as (select cluster, sha256(string_agg(x::bigint::varchar, ',' order by i)) centroid_sha256
+  from c{rounds} group by cluster)
+select vec_id, cluster::integer as cluster, distance, cluster_inertia,
+  (select sum(distance)::bigint from a{rounds}) inertia, centroid_sha256
+from v join a{rounds} using (n) join sums using (cluster) join points using (cluster)"""
+
+
+ORACLES["op13_simplex_clusters"] = _clusters_sql()
