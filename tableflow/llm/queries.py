@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.llm import bitpack, bpe, chat, mixing, packing, quality, relative, simhash, \
-    simplex, suffixes, trie, weighted
+from tableflow.llm import bitpack, bpe, chat, mixing, packing, phrases, quality, relative, \
+    simhash, simplex, suffixes, trie, weighted
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -191,6 +191,41 @@ def op9_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scored(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_toivonen_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_toivonen_phrases"] = r"""
+with d as (select coalesce(lang, 'und') lang, translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') t from documents),
+p as (select lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) piece from d),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') words from p),
+totals as (select lang, sum(len(words)) n from w group by lang),
+g as (select lang, k, list_aggregate(words[i:i + k - 1], 'string_agg', ' ') phrase
+  from (select lang, words, unnest(range(1, len(words) + 1)) i from w), range(1, 6) t(k)
+  where i + k - 1 <= len(words)),
+f as materialized (select lang, k, phrase, count(*) a from g group by all having count(*) >= 100),
+c as (select lang, phrase, k, a, string_split(phrase, ' ') words from f where k >= 2),
+inner_parts as (select distinct lang, a, list_aggregate(words[i:i + size - 1], 'string_agg', ' ') phrase
+  from (select *, unnest(range(1, k + 1)) i from c), range(2, 5) t(size)
+  where i + size - 1 <= k and size < k),
+cuts as (select lang, phrase, a, cut, list_aggregate(words[:cut], 'string_agg', ' ') first_part,
+    list_aggregate(words[cut + 1:], 'string_agg', ' ') rest
+  from (select *, unnest(range(1, k)) cut from c)),
+scored as (select cuts.lang, cuts.phrase, cuts.a, cut, x.a l, y.a r, n,
+    (1000::hugeint * cuts.a * n // (x.a::hugeint * y.a))::bigint score
+  from cuts join f x on x.lang = cuts.lang and x.phrase = first_part
+  join f y on y.lang = cuts.lang and y.phrase = rest join totals on totals.lang = cuts.lang),
+best as (select * from (select *, row_number() over (
+    partition by lang, phrase order by score, cut) first_cut from scored) where first_cut = 1),
+kept as (select * from best where not exists (select 1 from inner_parts i
+  where i.lang = best.lang and i.phrase = best.phrase and i.a >= best.a))
+select lang, rank, phrase, a, l, r, n::bigint n, score from (
+  select *, row_number() over (partition by lang order by score desc, a desc, phrase) rank from kept)
+where rank <= 2000"""
+
+
 @query
 def op12_prefix_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,0 +1,112 @@
+"""Phrases by sampling and closing passes against counting everything."""
+
+import random
+import re
+from collections import Counter
+
+import pytest
+from compare import TABLES_DIR, duck, duck_result, spark_result
+from pyspark.sql import functions as F
+from samples import planted
+
+from tableflow.llm import phrases, queries
+
+
+def plain(rows, least, first):
+    counts, totals = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", low):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang] += len(words)
+            counts.update((lang, *words[i:i + k]) for k in range(1, 6)
+                          for i in range(len(words) - k + 1))
+    held = {key: n for key, n in counts.items() if n >= least}
+    inner = {}
+    for key, n in held.items():
+        words = key[1:]
+        for k in range(1, len(words)):
+            for i in range(len(words) - k + 1):
+                part = (key[0], *words[i:i + k])
+                inner[part] = max(inner.get(part, 0), n)
+    found = {}
+    for key, a in held.items():
+        lang, words = key[0], key[1:]
+        if len(words) < 2 or 100 * inner.get(key, 0) >= 100 * a:
+            continue
+        cuts = [(1000 * a * totals[lang] // (counts[lang, *words[:k]] * counts[lang, *words[k:]]), k)
+                for k in range(1, len(words))]
+        score, k = min(cuts)
+        found.setdefault(lang, []).append((" ".join(words), a, counts[lang, *words[:k]],
+                                           counts[lang, *words[k:]], totals[lang], score))
+    return sorted((lang, rank, *row) for lang, own in found.items() for rank, row in enumerate(
+        sorted(own, key=lambda r: (-r[5], -r[1], r[0].encode()))[:first], 1))
+
+
+def rows():
+    rng = random.Random(2)
+    made = [(text, lang) for (_, text), lang in zip(planted(documents=30), [
+        "en", "de", None, "", "und"] * 100)]
+    made += [(" ".join(rng.choice(["New york", "a b c d e f", "x y", "A  b\tc", "é à", "x. y"])
+                       + rng.choice([" ", ",", "\n", ". "]) for _ in range(80)), "en")
+             for _ in range(20)]
+    made += [(None, "en"), ("", None), (" \t\n", "fr"), ("one two " * 4000, "long"),
+             ("tie one. tie two. " * 9, "ties"), ("a" * 4000 + " b. " * 9, "x\ny")]
+    return made + made[-12:]
+
+
+def found(spark, made, **more):
+    docs = spark.createDataFrame([(*row, "own", 1) for row in made],
+                                 "body string, tongue string, phrase string, id int").repartition(3)
+    return sorted(map(tuple, phrases.collocations(
+        docs, text="body", lang="tongue", **more).collect()))
+
+
+@pytest.mark.parametrize("sample", [1, 3, 1 << 40])
+def test_equals_counting_everything(spark, sample):
+    """Whatever the sample proposes: all, some, or nothing, so that four passes have to close it."""
+    made = rows()
+    wanted = plain(made, 8, 50)
+    assert len(wanted) > 60 and any(len(row[2].split()) == 5 for row in wanted)
+    assert found(spark, made, min_count=8, first=50, sample=sample) == wanted
+
+
+def test_query_equals_sql(spark):
+    name = "op11_toivonen_phrases"
+    got = spark_result(queries.QUERIES[name](spark, TABLES_DIR))
+    assert got == duck_result(duck(TABLES_DIR), queries.ORACLES[name])
+    assert got[1]
+
+
+def test_empty_tables_and_rare_phrases(spark):
+    assert found(spark, [], min_count=1) == []
+    assert found(spark, [("a b", "en")], min_count=2) == []
+    assert found(spark, [("a b", "en")], min_count=1) == [("en", 1, "a b", 1, 1, 1, 2, 2000)]
+
+
+def test_chunks_of_words_meet(monkeypatch):
+    import pyarrow as pa
+    texts = pa.array(["a b c a b c a b. c a b", None, "a b"])
+    langs = pa.array(["en", "en", None])
+
+    def sums():
+        total = Counter()
+        for k, prefix, last, _, n in phrases.counted(phrases.Words(texts, langs), None, None):
+            total.update(dict(zip(zip([k] * len(n), prefix.tolist(), last.tolist()), n.tolist())))
+        return total
+
+    whole = sums()
+    assert sum(n for (k, *_), n in whole.items() if k == 2) == 7 + 2 + 1
+    monkeypatch.setattr(phrases, "CHUNK", 3)
+    assert sums() == whole
+
+
+def test_scores_beyond_64_bits(spark):
+    """The products of counts of a very large corpus are exact."""
+    whole = "decimal(19,0)"
+    a, n, low = 4 * 10 ** 12 + 7, 9 * 10 ** 14 + 1, 5 * 10 ** 12 + 3
+    row = spark.range(1).select(F.expr(
+        f"(cast({a} as {whole}) * cast({n} as {whole}) * 1000) div "
+        f"(cast({low} as {whole}) * cast({low} as {whole}))").alias("score")).first()
+    assert row["score"] == 1000 * a * n // (low * low)
