@@ -31,7 +31,7 @@ from tableflow.scratch import ship_package
 #: Text whose words are put in a trie together (a document at least).
 SLICE_BYTES = 4 << 20
 #: Bytes of remembered words and pairs of a worker, about.
-KEPT_BYTES = 64 << 20
+KEPT_BYTES = 128 << 20
 #: What a remembered word costs beside its characters: objects, pointers, the table's places.
 WORD_COST, PAIR_COST = 400, 160
 
@@ -41,8 +41,10 @@ NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
     {"type": "Lowercase"}]}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-_ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PARTS = re.compile(r"[^ \t\n\r\f\v]+").findall
+#: What stands between white space, if it has characters beyond ASCII, or else its words.
+_UNITS = re.compile(
+    r"[^ \t\n\r\f\v]*[^\x00-\x7f][^ \t\n\r\f\v]*|'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]"
+    r"|[A-Za-z]+|[0-9]|[^A-Za-z0-9 \t\n\r\f\v]+").findall
 
 
 class Merges:
@@ -102,31 +104,16 @@ class Merges:
 
     def beside(self, left: int, right: int) -> bool:
         """Whether the two tokens stay apart and whole when their symbols are merged."""
-        found = self.neighbours.get((left, right))
-        if found is None:
-            found = self.stands(right) and \
-                self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
-            if len(self.neighbours) * PAIR_COST >= KEPT_BYTES // 2:
-                self.neighbours.clear()
-            self.neighbours[left, right] = found
+        found = self.stands(right) and \
+            self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
+        if len(self.neighbours) * PAIR_COST >= KEPT_BYTES // 2:
+            self.neighbours.clear()
+        self.neighbours[left, right] = found
         return found
 
-    def last(self, word: str, end: int, tokens: dict[str, int], states: list[int],
-             lengths: list[int]) -> tuple[int, int]:
-        """The last token of the first ``end`` symbols and its length, from the shorter prefixes'.
-
-        ``states[i]`` and ``lengths[i]`` belong to the first i symbols.
-        """
-        for length in range(min(end, self.longest), 0, -1):
-            token = tokens.get(word[end - length:end])
-            if token is not None and (self.stands(token) if length == end
-                                      else self.beside(states[end - length], token)):
-                return token, length
-        raise AssertionError("a single symbol always stands")  # pragma: no cover
-
     def encoded(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Each word (of visible characters, not empty) with its ids, in sorted order."""
-        states, lengths, before = [-1], [0], ""
+        states, lengths, before = [-1], [0], ""  # of the first 0, 1, 2, ... symbols
         for word in sorted(words):
             inner = len(word) - 1  # the last symbol has an edge of its own
             shared, most = 0, min(inner, len(states) - 1)
@@ -134,24 +121,45 @@ class Merges:
                 shared += 1
             del states[shared + 1:], lengths[shared + 1:]
             for end in range(shared + 1, inner + 1):
-                token, length = self.last(word, end, self.inner, states, lengths)
-                states.append(token)
-                lengths.append(length)
-            token, length = self.last(word, len(word), self.final, states, lengths)
-            found, at = [token], len(word) - length
+                self.visit(word, end, self.inner, states, lengths)
+            self.visit(word, inner + 1, self.final, states, lengths)
+            found, at = [], inner + 1
             while at:
                 found.append(states[at])
                 at -= lengths[at]
             yield word, found[::-1]
+            states.pop()
+            lengths.pop()
             before = word
 
+    def visit(self, word: str, end: int, tokens: dict[str, int], states: list[int],
+              lengths: list[int]) -> None:
+        """Add the state of the node of the first ``end`` symbols to those of its ancestors."""
+        low = end - self.longest
+        for start in range(low if low > 0 else 0, end):  # the longest token first
+            token = tokens.get(word[start:end])
+            if token is None:
+                continue
+            if start:
+                beside = self.neighbours.get((states[start], token))
+                if beside is None:
+                    beside = self.beside(states[start], token)
+            else:
+                beside = self.stands(token)
+            if beside:
+                states.append(token)
+                lengths.append(end - start)
+                return
+        raise AssertionError("a single symbol always stands")  # pragma: no cover
+
 
 class Words:
     """Encodes whole texts as ``Tokenizer.encode(text, add_special_tokens=False)`` would.
 
-    White space separates parts, which normalisation and splitting never join; a part of ASCII
-    characters is split here, any other by the library's own normaliser and pre-tokeniser. Its
-    words are encoded by the trie. Strings of added tokens in a text are those tokens.
+    Normalisation and splitting never join what white space separates. What stands between it is
+    split into its words here if it is ASCII, which makes the text's *units*; any other is a unit
+    that the library's own normaliser and pre-tokeniser split. The words are encoded by the trie.
+    Strings of added tokens in a text are those tokens.
     """
 
     def __init__(self, path: str):
@@ -172,38 +180,35 @@ class Words:
         longest_first = sorted(self.added, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")").split \
             if added else lambda text: [text]
-        self.known: dict[str, tuple[int, str, str]] = {}  # by part
+        self.known: dict[str, tuple[int, str, str]] = {}  # by unit
         self.held = 0
 
-    def split(self, part: str) -> list[str]:
-        """The words of a part without white space, as visible characters."""
-        if part.isascii():
-            low = part.lower()
-            return [low] if low.isalpha() else list(map(visible, _ASCII_SPLIT.findall(low)))
-        normal = self.library.normalizer.normalize_str(part)
+    def split(self, unit: str) -> list[str]:
+        """The words of a unit of a text, as visible characters."""
+        if unit.isascii():
+            return [visible(unit.lower())]
+        normal = self.library.normalizer.normalize_str(unit)
         return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
-    def learn(self, parts: set[str]) -> None:
-        """Remember the ids of all these parts."""
-        new = parts.difference(self.known)
+    def learn(self, units: set[str]) -> None:
+        """Remember the ids of all these units."""
         if self.held >= KEPT_BYTES:  # what is not met again is forgotten
-            self.known = {part: self.known[part] for part in parts if part in self.known}
-            self.held = sum(WORD_COST + 8 * len(part) for part in self.known)
-        split = {part: self.split(part) for part in new}
+            self.known = {unit: self.known[unit] for unit in units if unit in self.known}
+            self.held = sum(WORD_COST + 8 * len(unit) for unit in self.known)
+        split = {unit: self.split(unit) for unit in units.difference(self.known)}
         ids = dict(self.merges.encoded({word for found in split.values() for word in found}))
-        for part, found in split.items():
-            own = [number for word in found for number in ids[word]]
-            self.known[part] = (len(own), " ".join(map(str, own)),
+        for unit, found in split.items():
+            own = ids[found[0]] if len(found) == 1 else [n for word in found for n in ids[word]]
+            self.known[unit] = (len(own), " ".join(map(str, own)),
                                 " ".join(map(self.names.__getitem__, own)))
-            self.held += WORD_COST + 8 * len(part)
+            self.held += WORD_COST + 8 * len(unit)
 
     def results(self, whole: list[str]) -> Iterator[list[tuple[int, str, str]]]:
-        """For each text its parts' number of ids, the ids in decimal, and the tokens' names."""
-        cut = [self.cut(text) for text in whole]
-        parts = [[_PARTS(piece) if at % 2 == 0 else piece for at, piece in enumerate(pieces)]
-                 for pieces in cut]
-        self.learn({part for pieces in parts for held in pieces[::2] for part in held})
-        for pieces in parts:
+        """For each text its units' number of ids, the ids in decimal, and the tokens' names."""
+        units = [[_UNITS(piece) if at % 2 == 0 else piece for at, piece in enumerate(self.cut(text))]
+                 for text in whole]
+        self.learn(set().union(*[held for pieces in units for held in pieces[::2]]))
+        for pieces in units:
             found = []
             for at, held in enumerate(pieces):
                 if at % 2:

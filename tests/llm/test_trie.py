@@ -52,9 +52,9 @@ def test_traversal_equals_merging_each_word_alone():
 def test_shared_prefixes_are_looked_at_once(monkeypatch):
     merges = trie.words(PATH).merges
     ends = []
-    last = type(merges).last
-    monkeypatch.setattr(type(merges), "last", lambda self, word, end, *rest: (
-        ends.append(word[:end]), last(self, word, end, *rest))[1])
+    visit = type(merges).visit
+    monkeypatch.setattr(type(merges), "visit", lambda self, word, end, *rest: (
+        ends.append(word[:end]), visit(self, word, end, *rest))[1])
     found = ["thinking", "thinker", "think", "thin"]
     dict(merges.encoded(found))
     inner = {word[:end] for word in found for end in range(1, len(word))}
