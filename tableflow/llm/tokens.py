@@ -7,16 +7,25 @@ library's own pre-tokenizer and model when it is first met.
 
 from __future__ import annotations
 
+import re
 import sys
 from array import array
 from collections.abc import Iterable
 
 from tokenizers import Tokenizer
 
-#: Parts and words that a worker keeps in each of two generations, so that its memory is bounded.
-KEPT = 600_000
-#: Marks that end a word; each is itself in a byte-level vocabulary's characters.
-MARKS = ".,;:!?"
+#: Bytes of results that a worker keeps in each of two generations, so that its memory is bounded;
+#: and what a result costs beside its key's characters and its ids.
+KEPT_BYTES = 72 << 20
+ENTRY_COST = 150
+#: Longer texts recur too seldom to take others' room.
+LONGEST_KEPT = 16
+#: Marks that end words, and what a part without a space before it begins with.
+MARKS = ".,"
+BARE = "\1"
+#: A mark that isn't a pre-token of its own, and a line's end that isn't one.
+_JOINED = re.compile(r"[\W_][.,][ \n]").search
+_LINE_END = re.compile(r"\.\n(?![^\W_])").search
 
 
 def byte_characters() -> list[str]:
@@ -33,6 +42,7 @@ def byte_characters() -> list[str]:
 
 
 _SHOWN = dict(enumerate(byte_characters()))
+SPACE = _SHOWN[32]
 
 
 def visible(text: str) -> str:
@@ -44,15 +54,19 @@ class Kept(dict):
     """Results by text. A full generation becomes the old one; what is used again is kept."""
 
     def __init__(self, compute):
-        self.compute, self.old = compute, {}
+        self.compute, self.old, self.room = compute, {}, KEPT_BYTES
 
     def __missing__(self, text: str) -> bytes:
-        if len(self) >= KEPT:
-            self.old = dict(self)
-            self.clear()
         found = self.old.get(text)
         if found is None:
             found = self.compute(text)
+            if len(text) > LONGEST_KEPT:
+                return found
+        self.room -= ENTRY_COST + len(text) + len(found)
+        if self.room < 0:
+            self.old = dict(self)
+            self.clear()
+            self.room = KEPT_BYTES
         self[text] = found
         return found
 
@@ -62,19 +76,29 @@ class _Irregular(Exception):
 
 
 class ByParts:
-    """Ids of whole texts, joined from the ids of their parts."""
+    """Ids of whole texts, joined from the ids of their parts.
 
-    def __init__(self, encode):
-        self.encode = encode
-        self.parts = Kept(self.part_ids)  # by the part that a space goes before
+    A part is kept under its text without the space before it. Where texts consist of ``letters``
+    for the most part, their commas and periods are made parts of their own, so that a word is
+    kept once: ``BARE`` before a part tells that no space goes before it.
+    """
+
+    def __init__(self, encode, letters=None):
+        self.encode, self.letters = encode, letters
+        self.parts = Kept(self.part_ids)
 
     def part_ids(self, part: str) -> bytes:
+        if part[:1] == BARE:
+            word = part[1:]
+            return self.letters(word) if word.isalpha() else self.encode(word)
+        if self.letters is not None and part.isalpha():  # one pre-token, with the space
+            return self.letters(" " + part)
         if not part or part[0].isspace() or part[-1].isspace():
             raise _Irregular
         return self.encode(" " + part)
 
     def ids(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
+        first, *rest = (self.regular(text) or text).split(" ")
         try:
             if first[-1:].isspace() or (not first and rest):
                 raise _Irregular
@@ -82,6 +106,19 @@ class ByParts:
         except _Irregular:
             return b"".join(map(self.run_ids, regular_runs(text)))
 
+    def regular(self, text: str) -> str | None:
+        """The text with a space before each mark that follows a letter or digit and ends a word.
+
+        None if some mark follows another one or white space, with which it would be one pre-token,
+        or if a line's end after a period is not between visible characters.
+        """
+        if self.letters is None or BARE in text or text[:1] in MARKS or _JOINED(text) \
+                or _LINE_END(text):
+            return None
+        for mark in MARKS:
+            text = text.replace(mark + " ", f" {BARE}{mark} ")
+        return text.replace(".\n", f" {BARE}.\n {BARE}")
+
     def run_ids(self, run: str) -> bytes:
         part = run[1:]
         if run[0] == " " and part and not part[0].isspace() and not part[-1].isspace():
@@ -100,13 +137,14 @@ class Encoder:
     def __init__(self, path: str, added: bool = False):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
+        self.tokenize = self.tokenizer.model.tokenize
         self.vocabulary = self.tokenizer.get_vocab_size()
-        self.pieces = Kept(self.piece_ids)  # by the pre-token's visible characters
-        self.words = Kept(self.word_ids)
         split = repr(self.tokenizer.pre_tokenizer)
         by_words = self.tokenizer.normalizer is None and split.startswith("ByteLevel(") \
             and "add_prefix_space=False" in split and "use_regex=True" in split
-        self.ids = self.joined_ids = ByParts(self.part_ids).ids if by_words else self.whole_ids
+        self.ids = self.joined_ids = self.whole_ids
+        if by_words:
+            self.ids = self.joined_ids = ByParts(self.split_ids, self.word_ids).ids
         self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         if added and by_words:
             self.ids = self.ids_with_added
@@ -120,26 +158,16 @@ class Encoder:
         return packed_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def piece_ids(self, piece: str) -> bytes:
-        return packed_ids(token.id for token in self.tokenizer.model.tokenize(piece))
+        return packed_ids([token.id for token in self.tokenize(piece)])
 
     def word_ids(self, word: str) -> bytes:
+        if word.isascii():  # letters, after a space perhaps
+            return self.piece_ids(word.replace(" ", SPACE))
         return self.piece_ids(visible(word))
 
-    def part_ids(self, part: str) -> bytes:
-        found = []
-        for line in part.split("\n"):
-            word = line.rstrip(MARKS)
-            letters = word[1:] if word[:1] == " " else word
-            if not letters.isalpha():  # left to the library
-                split = self.tokenizer.pre_tokenizer.pre_tokenize_str(part)
-                return b"".join([self.pieces[piece] for piece, _ in split])
-            # letters are one pre-token, marks after them another, a line's end between them too
-            if found:
-                found.append(self.words["\n"])
-            found.append(self.words[word])
-            if len(word) < len(line):
-                found.append(self.words[line[len(word):]])
-        return b"".join(found)
+    def split_ids(self, text: str) -> bytes:
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str(text)
+        return b"".join([self.piece_ids(piece) for piece, _ in split])
 
 
 def packed_ids(ids: Iterable[int]) -> bytes:
