@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tableflow.operators.losses import TooManyLosses, as_rows
 from tableflow.operators.projection import in_target_order
 from tableflow.plans.ddl import add_columns, create_like_ddl, create_table
 from tableflow.plans.export import ExportSettings, export_job, export_jobs
-from tableflow.plans.migrate import migrate
+from tableflow.plans.migrate import migrate, migrate_changed
 from tableflow.queries.registry import load, query
-from tableflow.scratch import scratch_dir, unique
+from tableflow.scratch import scratch_dir, unique, written
 from tableflow.sinks.lake import dynamic_overwrite, full_overwrite, static_overwrite
 from tableflow.sources.tables import target_columns
 from tableflow.spec import ColumnSpec, JobSpec, PartitionSpec
@@ -144,6 +145,57 @@ def q_migrate_full(spark, sf_dir):
         "o_orderstatus")
 
 
+@query("""with p as (select o_orderpriority, o_orderstatus, count(*) as n,
+                            row_number() over (order by o_orderpriority, o_orderstatus) as place
+                     from orders group by o_orderpriority, o_orderstatus)
+          select o_orderpriority, o_orderstatus,
+                 case place when 1 then 'missing' when 2 then 'changed' else 'same' end as state,
+                 n as source_rows, case when place > 1 then n end as target_rows, n as rows_after,
+                 place <= 2 as rewritten, true as alike_after
+          from p
+          union all select 'none', 'X', 'extra', null, (select count(*) from customer), 0, true, true""")
+def q_migrate_changed(spark, sf_dir):
+    """Of all partitions one is missing, one has a changed value, one is too many: only these
+    are written, which the files' names show."""
+    orders, keys = load(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"]
+    source, target = unique("orders_parts"), unique("orders_copy")
+    spark.sql(create_like_ddl(source, orders.schema, keys, location=scratch_dir(spark, source)))
+    dynamic_overwrite(orders, source)
+    location = scratch_dir(spark, target)
+    least = orders.groupBy(*keys).agg(F.count("*").alias("n")).orderBy(*keys).limit(2).collect()
+    names = [f"o_orderpriority='{row[0]}',o_orderstatus={row[1]}" for row in least]
+    # An earlier copy without the first partition, which differs in the second one's prices.
+    lost = (F.col(keys[0]) == least[0][0]) & (F.col(keys[1]) == least[0][1])
+    spark.sql(create_like_ddl(target, orders.schema, keys, location=location))
+    dynamic_overwrite(orders.where(~lost), target)
+    second = PartitionSpec.parse(names[1])
+    static_overwrite(orders.where(second.predicate()).withColumn(
+        "o_totalprice", F.when(F.col("o_orderkey") % 50 == 0, 0.0).otherwise(F.col("o_totalprice") + 1))
+        .drop(*keys), target, second)
+    static_overwrite(load(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("o_orderkey"), F.col("c_custkey").alias("o_custkey"),
+        F.col("c_acctbal").alias("o_totalprice"), F.lit(None).cast(orders.schema["o_orderdate"].dataType)
+        .alias("o_orderdate")), target, PartitionSpec.parse("o_orderpriority=none,o_orderstatus=X"))
+
+    def files(name):
+        rows = spark.table(target).groupBy(*keys).agg(
+            F.sort_array(F.collect_set("_metadata.file_path")).alias(name), F.count("*").alias("n"))
+        return written(rows, name)
+
+    before = files("before")
+    found = migrate_changed(spark, source, target, location=location)
+    after = files("after")
+    again = migrate_changed(spark, source, target, location=location)  # nothing is left to do
+    alike = again.groupBy(*keys).agg(F.bool_and(F.col("state") == "same").alias("alike"))
+    return (found.join(before.select(*keys, "before"), keys, "left")
+            .join(after.select(*keys, "after", F.col("n").alias("rows")), keys, "left")
+            .join(alike, keys, "left").select(
+                *keys, "state", "source_rows", "target_rows",
+                F.coalesce("rows", F.lit(0)).alias("rows_after"),
+                (~F.col("before").eqNullSafe(F.col("after"))).alias("rewritten"),
+                F.coalesce("alike", F.lit(True)).alias("alike_after")))
+
+
 def order_job(target, location, spec, source="orders"):
     """An export description as a user writes it."""
     return JobSpec.from_dict({
@@ -191,3 +243,80 @@ def q_export_job_list(spark, sf_dir):
     export_jobs(spark, jobs, ExportSettings(create=True, catalogs={"fixed": "", "moving": ""},
                                             static_targets=frozenset({"fixed"})), sources)
     return spark.table(table)
+
+
+def _lossy_job(table, location, spec):
+    """Dates that are years for some orders, prices too large for their type, keys in text."""
+    return JobSpec.from_dict({
+        "sourceTable": "orders", "targetTable": table, "location": location, "partitions": spec,
+        "columns": [
+            {"columnName": "o_orderkey", "columnType": "bigint", "dataType": "VARCHAR"},
+            {"columnName": "o_totalprice", "columnType": "decimal(7,2)", "dataType": "DOUBLE"},
+            {"columnName": "o_orderdate", "columnType": "date", "dataType": "VARCHAR",
+             "funcs": [{"funcName": "replace", "funcParams": ["^1", "1"]}]},
+            {"columnName": "o_orderpriority", "columnType": "int", "dataType": "VARCHAR",
+             "funcs": [{"funcName": "substr", "funcParams": ["1", "1"]},
+                       {"funcName": "filter", "funcParams": ["not like", "5-%"]}]}]})
+
+
+def _lossy_orders(spark, sf_dir):
+    key = F.col("o_orderkey").cast("string")
+    return load(spark, sf_dir, "orders").select(
+        F.when(F.col("o_orderkey") % 7 == 0, F.concat(F.lit("K"), key))
+        .when(F.col("o_orderkey") % 11 != 0, key).alias("o_orderkey"), "o_totalprice",
+        F.when(F.col("o_custkey") % 5 == 0, F.lit("1997 or so"))
+        .otherwise(F.col("o_orderdate").cast("date").cast("string")).alias("o_orderdate"),
+        "o_orderpriority")
+
+
+_LOSSES = """select 'o_orderkey' as column_name,
+                    count(case when o_orderkey % 7 = 0 or o_orderkey % 11 <> 0 then 1 end) as present,
+                    count(case when o_orderkey % 7 = 0 then 1 end) as lost
+             from orders where o_orderpriority not like '5-%'
+             union all select 'o_totalprice', count(o_totalprice),
+                    count(case when round(o_totalprice, 2) >= 100000 then 1 end)
+             from orders where o_orderpriority not like '5-%'
+             union all select 'o_orderdate', count(*), count(case when o_custkey % 5 = 0 then 1 end)
+             from orders where o_orderpriority not like '5-%'
+             union all select 'o_orderpriority', count(o_orderpriority), 0
+             from orders where o_orderpriority not like '5-%'"""
+
+
+@query(_LOSSES)
+def q_export_loss_counts(spark, sf_dir):
+    """What the casts of an export lost, counted by the write itself."""
+    job = _lossy_job(unique("lossy_orders"), scratch_dir(spark, "lossy_orders"), "dt=d1")
+    orders = _lossy_orders(spark, sf_dir)
+    return as_rows(orders, export_job(
+        spark, job, ExportSettings(create=True, count_losses=True), orders))
+
+
+@query("""select dt, count(*) as row_count, count(o_orderkey) as keys,
+                 count(o_totalprice) as prices, count(o_orderdate) as dates
+          from (select case when o_orderkey % 7 <> 0 and o_orderkey % 11 <> 0 then o_orderkey end
+                         as o_orderkey,
+                       case when round(o_totalprice, 2) < 100000 then o_totalprice end as o_totalprice,
+                       case when o_custkey % 5 <> 0 then o_orderdate end as o_orderdate,
+                       unnest(['d1', 'd2']) as dt
+                from orders where o_orderpriority not like '5-%')
+          where dt = 'd1' or o_orderdate is not null
+          group by dt""")
+def q_export_loss_limit(spark, sf_dir):
+    """A load over its limit leaves the partition as it was; within the limit it is written."""
+    table, location = unique("lossy_orders"), scratch_dir(spark, "lossy_orders")
+    orders = _lossy_orders(spark, sf_dir)
+    dated = orders.where(F.length("o_orderdate") == 10).where("o_orderdate <> '1997 or so'")
+    most = orders.count()
+    loose = ExportSettings(create=True, max_lost={"o_orderdate": most, "o_totalprice": most})
+    exact = ExportSettings(create=True, max_lost={"o_orderdate": 0})
+    export_job(spark, _lossy_job(table, location, "dt=d1"), loose, orders)
+    export_job(spark, _lossy_job(table, location, "dt=d2"), exact, dated)
+    for spec in ("dt=d1", "dt=d2"):
+        try:
+            export_job(spark, _lossy_job(table, location, spec), exact, orders.unionAll(orders))
+        except TooManyLosses:
+            continue
+        raise AssertionError("a load over its limit was written")
+    return spark.table(table).groupBy("dt").agg(
+        F.count(F.lit(1)).alias("row_count"), F.count("o_orderkey").alias("keys"),
+        F.count("o_totalprice").alias("prices"), F.count("o_orderdate").alias("dates"))
