@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tableflow.plans.csvload import csv_load
+from tableflow.plans.csvload import csv_load, csv_load_with_rejects
 from tableflow.plans.ddl import create_like_ddl
 from tableflow.queries.lake import partitioned_copy
 from tableflow.queries.registry import load, query, view
@@ -131,6 +132,62 @@ def q_csv_load_headerless(spark, sf_dir):
     return spark.table(table)
 
 
+def _customer_lines(spark, sf_dir):
+    """Customers as CSV lines, many of them damaged: a balance in words, a missing key, a field
+    too many, or too few."""
+    key, bad = F.col("c_custkey"), F.col("c_custkey") % 10
+    fields = [F.when(bad != 2, key.cast("string")).otherwise(""), F.col("c_name"),
+              F.col("c_nationkey").cast("string"),
+              F.when(bad.isin(2, 3), F.lit("no money")).otherwise(F.col("c_acctbal").cast("string"))]
+    line = F.concat_ws(",", *fields)
+    return load(spark, sf_dir, "customer").select(
+        F.when(bad == 4, F.concat(line, F.lit(",more"))).when(bad == 5, F.concat_ws(",", *fields[:2]))
+        .otherwise(line).alias("value"))
+
+
+_BAD_LINES = """
+    select case c_custkey % 10 when 2 then ',' || c_name || ',' || c_nationkey || ',no money'
+             when 3 then c_custkey || ',' || c_name || ',' || c_nationkey || ',no money'
+             when 4 then c_custkey || ',' || c_name || ',' || c_nationkey || ',' || c_acctbal || ',more'
+             else c_custkey || ',' || c_name end as line,
+           case c_custkey % 10 when 2 then 'no c_custkey; c_acctbal is no double'
+             when 3 then 'c_acctbal is no double' else 'number of fields' end as reason
+    from customer where c_custkey % 10 in (2, 3, 4, 5)"""
+
+
+def _load_lines(spark, sf_dir, header):
+    target = load(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
+    table = _empty_like(spark, target.withColumn("dt", F.lit("")), "customer_lake", ["dt"])
+    rejects, path, lines = unique("rejects"), scratch_dir(spark, "csv"), _customer_lines(spark, sf_dir)
+    if header:  # each file has one: the lines of a task go behind it
+        lines = lines.withColumn("value", F.when(
+            F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(F.lit(1))) == 1,
+            F.concat(F.lit("c_custkey,c_name,c_nationkey,c_acctbal\n"), "value")).otherwise(F.col("value")))
+    lines.write.text(path)
+    counts = csv_load_with_rejects(
+        spark, path, table, rejects, PartitionSpec.parse("dt=d1"), primary_key="c_custkey",
+        header=header, rejects_location=scratch_dir(spark, "rejects"))
+    return table, rejects, counts
+
+
+@query("""select c_custkey, c_name, c_nationkey, c_acctbal, 'd1' as dt,
+                 (select count(*) from customer where c_custkey % 10 in (2, 3, 4, 5)) as rejected
+          from customer where c_custkey % 10 not in (2, 3, 4, 5)""")
+def q_csv_load_rejects_loaded(spark, sf_dir):
+    table, _, (_, rejected) = _load_lines(spark, sf_dir, header=True)
+    return spark.table(table).withColumn("rejected", F.lit(rejected).cast("long"))
+
+
+@query(f"""select *, 'd1' as dt, true as from_a_file,
+                  (select count(*) from customer where c_custkey % 10 not in (2, 3, 4, 5)) as loaded
+           from ({_BAD_LINES})""")
+def q_csv_load_rejects(spark, sf_dir):
+    """Each bad line with its reasons; together with the loaded ones these are all lines."""
+    _, rejects, (loaded, _) = _load_lines(spark, sf_dir, header=False)
+    return spark.table(rejects).select("line", "reason", "dt", F.col("file").isNotNull().alias(
+        "from_a_file"), F.lit(loaded).cast("long").alias("loaded"))
+
+
 @query("select count(*) as row_count, true as files_as_asked from orders")
 def q_repartition_files(spark, sf_dir):
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
