@@ -10,8 +10,10 @@ from tableflow.plans.kvload import backup_export_job, bulk_pairs, shard_export_j
 from tableflow.queries.registry import load, query, view
 from tableflow.scratch import scratch_dir
 from tableflow.sinks.keyvalue import (
-    encoded_pairs, prepared_upsert, sharded_export, text_or, with_shard)
-from tableflow.sources.keyvalue import read_backup
+    encoded_pairs, prepared_upsert, sharded_export, text_or, with_shard, write_backup)
+from tableflow.sinks.manifest import (
+    check_contents, check_listing, export_with_manifest, locate, read_located)
+from tableflow.sources.keyvalue import decode_pairs, read_backup, read_keys
 from tableflow.sources.tables import read_sql
 
 
@@ -247,3 +249,73 @@ def q_kv_ttl_upsert_common_time(spark, sf_dir):
         current_time="2024-02-28 23:30:00")
     rows.drop("bad_ttl").write.parquet(path)
     return spark.read.parquet(path)
+
+
+def _order_pairs(spark, sf_dir, shards):
+    return encoded_pairs(with_shard(_order_rows(spark, sf_dir), shards), "orders", keep=["shard_id"])
+
+
+@query(f"""select {_shard('cast(o_custkey as varchar)', 8)} as shard_id, count(*) as pairs,
+                  min({_hex_key('orders', '4', 'cast(o_custkey as varchar)',
+                                'cast(o_orderkey as varchar)')}) as first_key,
+                  max({_hex_key('orders', '4', 'cast(o_custkey as varchar)',
+                                'cast(o_orderkey as varchar)')}) as last_key,
+                  count(*) as located, 0 as problems
+           from orders group by 1""")
+def q_kv_export_manifest(spark, sf_dir):
+    """The index's sums by shard; every key is found in a file by it, and the files are as it says."""
+    path, index = scratch_dir(spark, "shards"), scratch_dir(spark, "index")
+    pairs = _order_pairs(spark, sf_dir, 8)
+    files = export_with_manifest(pairs, path, index, 8, tasks=3 * spark.sparkContext.defaultParallelism)
+    found = locate(pairs.select("shard_id", "key_bytes"), files).groupBy("shard_id") \
+        .agg(F.countDistinct("key_bytes").alias("located"))
+    wrong = check_listing(spark, path, index).unionByName(check_contents(spark, path, index))
+    return (files.groupBy("shard_id").agg(
+                F.sum("pairs").alias("pairs"), F.hex(F.min("first_key")).alias("first_key"),
+                F.hex(F.max("last_key")).alias("last_key"))
+            .join(found, "shard_id").withColumn("problems", F.lit(wrong.count())))
+
+
+@query(f"""select {_hex_key('orders', '4', 'cast(o_custkey as varchar)',
+                            'cast(o_orderkey as varchar)')} as key_hex,
+                  upper(hex(o_orderpriority)) as value_hex
+           from orders where o_orderstatus = 'P'""")
+def q_kv_manifest_lookup(spark, sf_dir):
+    """The pairs of some orders' keys, read from the files that the index names."""
+    path, index = scratch_dir(spark, "shards"), scratch_dir(spark, "index")
+    files = export_with_manifest(_order_pairs(spark, sf_dir, 8), path, index, 8)
+    wanted = load(spark, sf_dir, "orders").where("o_orderstatus = 'P'").select(
+        F.col("o_custkey").cast("string").alias("key"), F.lit(b"").alias("value"),
+        F.col("o_orderkey").cast("string").alias("member"), F.lit(4).alias("type"))
+    keys = encoded_pairs(with_shard(wanted, 8), "orders", keep=["shard_id"])
+    return _hexed(read_located(spark, path, keys, files))
+
+
+_LOOKED_UP = """select cast(4 as tinyint) as "storeType", cast(o_custkey as varchar) as key,
+                       o_orderpriority as value, 0 as ttl, cast(o_orderkey as varchar) as member,
+                       cast(0 as bigint) as score
+                from orders where {}"""
+
+
+def _looked_up(spark, sf_dir, condition):
+    path = scratch_dir(spark, "backup")
+    write_backup(encoded_pairs(_order_rows(spark, sf_dir), "orders"), path)
+    wanted = load(spark, sf_dir, "orders").where(condition).select(
+        F.col("o_custkey").cast("string").alias("key"), F.lit(b"").alias("value"),
+        F.col("o_orderkey").cast("string").alias("member"), F.lit(4).alias("type"))
+    keys = encoded_pairs(wanted, "orders").unionByName(  # and keys that the backup lacks
+        encoded_pairs(wanted.withColumn("key", F.concat(F.lit("no"), "key")), "orders"))
+    return decode_pairs(read_keys(spark, path, keys))
+
+
+@query(_LOOKED_UP.format("o_orderstatus = 'P'"))
+def q_kv_backup_lookup(spark, sf_dir):
+    """A table of keys against a whole backup."""
+    return _looked_up(spark, sf_dir, "o_orderstatus = 'P'")
+
+
+@query(_LOOKED_UP.format("o_orderdate = (select max(o_orderdate) from orders)"))
+def q_kv_backup_lookup_few(spark, sf_dir):
+    """Few keys: the scan is given each of them, for the files' Bloom filters."""
+    last = load(spark, sf_dir, "orders").agg(F.max("o_orderdate")).first()[0]
+    return _looked_up(spark, sf_dir, F.col("o_orderdate") == F.lit(last))

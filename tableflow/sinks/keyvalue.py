@@ -240,3 +240,21 @@ def sharded_export(pairs: DataFrame, path: str, shards: int = 32, *, tasks: int
                   .repartitionByRange(tasks, "shard_id", "key_bytes", "_origin").drop("_origin"))
     (placed.sortWithinPartitions("shard_id", "key_bytes")
      .write.mode("overwrite").partitionBy("shard_id").parquet(path))
+
+
+def write_backup(pairs: DataFrame, path: str, *, expected_keys: int | None = None,
+                 mode: str = "overwrite") -> None:
+    """Write pairs as a backup that single keys can be looked up in: sorted by key, each row group
+    with a Bloom filter of its keys, besides the least and greatest one that all have.
+
+    ``expected_keys`` is the number of keys in a row group, for the filter's size. The sort cuts
+    the pairs into even runs of keys, as for a sharded export.
+    """
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    writer = (pairs.withColumn("_origin", F.spark_partition_id())
+              .repartitionByRange(tasks, "key_bytes", "_origin").drop("_origin")
+              .sortWithinPartitions("key_bytes").write.mode(mode)
+              .option("parquet.bloom.filter.enabled#key_bytes", "true"))
+    if expected_keys is not None:
+        writer = writer.option("parquet.bloom.filter.expected.ndv#key_bytes", str(expected_keys))
+    writer.parquet(path)
