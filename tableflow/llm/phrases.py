@@ -5,13 +5,15 @@ documents is counted first; the phrases that are frequent in it, at a lowered co
 The full pass counts every word, the proposed phrases and their *negative border*: the phrases that
 are not proposed but whose two parts without the last and without the first word are. What is
 frequent is either counted, or it holds a counted phrase of the border that is frequent: such a
-failure is added to the proposals, and a further pass counts what becomes proposed or border by
-it, until a pass brings no failure. Counts are exact; the sample only decides on the passes.
+failure is added to the proposals, and a further pass counts what becomes border by it, and at
+once what would by that, until a pass brings no failure. Counts are exact; the sample only decides
+on the passes.
 
 The border is never listed, it would be all pairs of words: each place in a text tells by its
 own two parts whether its phrase is counted. The proposals are sent to the tasks as a filter of a
 fixed number of bits, which may take a phrase for proposed that isn't: then more is counted, and
-nothing is missed. Counting itself is a shuffle by phrase; no task or driver holds all of them.
+nothing is missed. Tasks add up the phrases of a slice of text and send them to the shards of
+their hashes in compressed blocks; no task or driver holds all of them.
 
 A phrase is known by a 64-bit hash of the hash of its words but the last and that of its last
 word, so counted phrases can be put together to words again from one another.
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.llm.arrow import slices, text_bytes
-from tableflow.llm.windows import U, gathered, mixed, word_hashes
+from tableflow.llm.windows import U, gathered, mixed, squeezed, unsqueezed, word_hashes
 from tableflow.scratch import ship_package, written
 
 LONGEST = 5
@@ -46,8 +48,10 @@ SAMPLE = 10
 FILTER_BITS = 28
 FILTER_BLOCKS = 64
 #: Text that a task looks at at once (a document at least), and words of it.
-SLICE_BYTES = 8 << 20
-CHUNK = 1 << 20
+SLICE_BYTES = 4 << 20
+CHUNK = 1 << 19
+#: Text whose phrases are counted in a shard, about.
+SHARD_BYTES = 12 << 20
 
 #: White space between words, and what ends a piece (fixed by the contract).
 BLANK, BREAK = b" \t", b".,;:!?\n\v\f\r"
@@ -58,8 +62,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
 _LINK = U(0x9E6C63D0876A9A35)
 
-FIELDS = "k int, lang string, word string, prefix long, last long, n long"
-KEYS = ["k", "lang", "word", "prefix", "last"]
+FIELDS = "k int, lang string, word string, prefix long, last long, n long, id long"
+BLOCKS = "shard long, words boolean, block binary"
 
 
 def linked(prefix: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -84,26 +88,12 @@ class Words:
         self.langs = coded.dictionary.to_pylist()
         document = np.searchsorted(offsets, self.first, "right") - 1
         self.lang = np.asarray(coded.indices).astype(np.int64)[document]
-        self.salts = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs],
-                              np.uint64)
+        salts = np.array([xxhash.xxh64_intdigest(lang.encode()) for lang in self.langs], np.uint64)
+        self.hashes = mixed(word_hashes(self.data, self.first, self.end) ^ salts[self.lang])
 
     def __len__(self) -> int:
         return len(self.first)
 
-    def hashes(self, low: int, high: int) -> np.ndarray:
-        if low >= high:
-            return np.zeros(0, np.uint64)
-        return mixed(word_hashes(self.data, self.first[low:high], self.end[low:high])
-                     ^ self.salts[self.lang[low:high]])
-
-    def text(self, at: np.ndarray) -> pa.Array:
-        """The words at these places."""
-        first, end = self.first[at], self.end[at]
-        offsets = np.concatenate([[0], np.cumsum(end - first)]).astype(np.int64)
-        return pa.LargeStringArray.from_buffers(
-            len(at), pa.py_buffer(offsets), pa.py_buffer(gathered(self.data, first, end))) \
-            .cast(pa.string())
-
 
 class Proposed:
     """A filter of the proposed phrases: never wrong about one that is in it."""
@@ -125,91 +115,185 @@ class Proposed:
 
 
 def counted(words: Words, now: Proposed | None, before: Proposed | None
-            ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Of each chunk and length: the phrases to count, each once.
+            ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of each chunk and length: the places of the phrases to count, and the hashes there of all
+    words but the last, and of the phrase.
 
-    Yields the length, the hashes without the last word and of the last word, the places of
-    an occurrence, and the counts. ``now`` is the filter of proposals (None: all phrases are
-    counted), ``before`` that of the passes so far, whose phrases are left out.
+    ``now`` is the filter of proposals (None: all phrases are counted), ``before`` that of the
+    passes so far, whose phrases are left out. What is counted the first time is taken for
+    proposed within the pass, so one pass also counts what could become border by its failures.
     """
     for low in range(0, len(words), CHUNK):
         high = min(len(words), low + CHUNK)
         ahead = min(len(words), high + LONGEST - 1)
-        single, piece = words.hashes(low, ahead), words.piece[low:ahead]
-        hashes = single
-        wanted = np.full(len(single), before is None)
-        for k in range(1, LONGEST + 1):
-            if k > 1:  # hashes[i] is of k - 1 words from i on; the next ones' are the other part
-                inside = piece[k - 1:] == piece[:len(piece) - k + 1]
-                prefix, last = hashes[:len(inside)], single[k - 1:]
-                following = hashes[1:len(inside) + 1]
-                wanted = inside.copy()
-                if now is not None:
-                    wanted &= now.holds(prefix) & now.holds(following)
-                if before is not None:
-                    wanted &= ~(before.holds(prefix) & before.holds(following))
-                hashes = linked(prefix, last)
-            at = np.flatnonzero(wanted[:high - low])
-            found, example, n = np.unique(hashes[at], return_index=True, return_counts=True)
-            example = at[example]
-            if len(found):
-                yield (k, np.zeros(len(found), np.uint64) if k == 1 else prefix[example],
-                       single[example + k - 1], example + low, n)
-
-
-def _rows(words: Words, now: Proposed | None, before: Proposed | None
-          ) -> Iterator[pa.RecordBatch]:
-    names = np.array(words.langs, object)
-    if before is None:  # the languages' words
-        some, n = np.unique(words.lang, return_counts=True)
-        nothing = pa.nulls(len(some), pa.int64())
-        yield _batch(0, pa.array(names[some], pa.string()), None, nothing, nothing, n)
-    for k, prefix, last, at, n in counted(words, now, before):
-        if k == 1:
-            yield _batch(k, pa.array(names[words.lang[at]], pa.string()), words.text(at),
-                         _longs(prefix), _longs(last), n)
-        else:
-            yield _batch(k, None, None, _longs(prefix), _longs(last), n)
+        single, piece = words.hashes[low:ahead], words.piece[low:ahead]
+        own = high - low
+        if before is None:
+            yield 1, np.arange(low, high), np.zeros(own, np.uint64), single[:own]
+        hashes = single.copy()
+        member = np.ones(len(single), bool) if now is None else now.holds(single)
+        earlier = None if before is None else before.holds(single)
+        for k in range(2, LONGEST + 1):
+            at = np.flatnonzero(member[:-1] & member[1:]) if len(member) > 1 else \
+                np.zeros(0, np.int64)
+            at = at[at + k <= len(single)]
+            at = at[piece[at + k - 1] == piece[at]]
+            prefix = hashes[at]
+            hashes[at] = whole = linked(prefix, single[at + k - 1])
+            new = np.ones(len(at), bool)
+            if earlier is not None:
+                new = ~(earlier[at] & earlier[at + 1])
+                earlier[:] = False
+                earlier[at] = before.holds(whole)
+            member[:] = False
+            member[at] = True if now is None else now.holds(whole)
+            if before is not None:
+                member[at[new]] = True
+            chosen = new & (at < own)
+            yield k, at[chosen] + low, prefix[chosen], whole[chosen]
+
+
+def _grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A sorting of the hashes, where each new one starts in it, and how often each occurs."""
+    order = np.argsort(hashes)
+    ordered = hashes[order]
+    starts = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) \
+        if len(order) else np.zeros(0, np.int64)
+    return order, starts, np.diff(np.append(starts, len(order)))
+
+
+def _shards(hashes: np.ndarray, shards: int) -> list[tuple[int, int, int]]:
+    """The shards of sorted hashes: each with its first and end."""
+    shard = ((hashes >> U(32)) * U(shards)) >> U(32)
+    cuts = np.flatnonzero(np.diff(shard)) + 1
+    ends = np.append(cuts, len(shard))
+    return [(int(shard[start]), int(start), int(end))
+            for start, end in zip(np.append(0, cuts), ends) if end > start]
+
+
+def _blocks_of(words: Words, now: Proposed | None, before: Proposed | None, shards: int
+               ) -> Iterator[tuple[int, bool, bytes]]:
+    """What the shards get of some texts."""
+    single = [part for part in counted(words, now, before)]
+    longer = [part for part in single if part[0] > 1]
+    single = [part for part in single if part[0] == 1]
+    if single:
+        places, hashes = [np.concatenate(column) for column in list(zip(*single))[1::2]]
+        order, starts, n = _grouped(hashes)
+        places, hashes = places[order[starts]], hashes[order[starts]]
+        for shard, start, end in _shards(hashes, shards):
+            at = places[start:end]
+            first, last = words.first[at], words.end[at]
+            names = "\n".join(words.langs).encode()
+            yield shard, True, squeezed(
+                hashes[start:end], n[start:end].astype(np.uint32),
+                words.lang[at].astype(np.uint16), (last - first).astype(np.uint32),
+                gathered(words.data, first, last), np.frombuffer(names, np.uint8),
+                np.array([len(lang.encode()) for lang in words.langs], np.uint32))
+    if longer:
+        sizes = np.concatenate([np.full(len(part[1]), part[0], np.uint8) for part in longer])
+        prefix, hashes = [np.concatenate(column) for column in list(zip(*longer))[2:]]
+        places = np.concatenate([part[1] for part in longer])
+        order, starts, n = _grouped(hashes)
+        example = order[starts]
+        for shard, start, end in _shards(hashes[example], shards):
+            own = example[start:end]
+            inner = np.argsort(prefix[own])  # like ones side by side
+            own = own[inner]
+            last = words.hashes[places[own] + sizes[own] - 1]
+            yield shard, False, squeezed(np.diff(prefix[own], prepend=U(0)), last,
+                                         n[start:end][inner].astype(np.uint32), sizes[own])
+
+
+def _summed(table: pa.Table, least: int) -> pa.Table:
+    """Of a shard's blocks the phrases that occur often enough, and the languages' words."""
+    if table.column("words")[0].as_py():
+        return _summed_words(table, least)
+    prefix, last, n, k = [np.concatenate(column) for column in zip(*[
+        (np.cumsum(steps, dtype=np.uint64), last, n, k) for steps, last, n, k in
+        (unsqueezed(block.as_py()) for block in table.column("block"))])]
+    hashes = linked(prefix, last)
+    order, starts, _ = _grouped(hashes)
+    total = np.add.reduceat(n[order].astype(np.int64), starts) if len(starts) else n
+    often = np.flatnonzero(total >= least)
+    at = order[starts[often]]
+    none = pa.nulls(len(at), pa.string())
+    return _table(k[at], none, none, prefix[at], last[at], total[often], hashes[at])
+
+
+def _summed_words(table: pa.Table, least: int) -> pa.Table:
+    names, parts = {}, []
+    texts = []
+    for block in table.column("block"):
+        hashes, n, lang, sizes, data, known, lengths = unsqueezed(block.as_py())
+        ends = np.cumsum(lengths.astype(np.int64) + 1)
+        own = [known[end - 1 - length:end - 1].tobytes().decode()
+               for end, length in zip(ends.tolist(), lengths.tolist())]
+        number = np.array([names.setdefault(name, len(names)) for name in own], np.int64)
+        parts.append((hashes, n.astype(np.int64), number[lang], sizes.astype(np.int64)))
+        texts.append(data)
+    hashes, n, lang, sizes = [np.concatenate(column) for column in zip(*parts)]
+    data = np.concatenate(texts)
+    ends = np.cumsum(sizes)
+    order, starts, _ = _grouped(hashes)
+    total = np.add.reduceat(n[order], starts)
+    often = np.flatnonzero(total >= least)
+    at = order[starts[often]]
+    offsets = np.concatenate([[0], np.cumsum(sizes[at])])
+    word = pa.LargeStringArray.from_buffers(
+        len(at), pa.py_buffer(offsets), pa.py_buffer(gathered(data, ends[at] - sizes[at], ends[at])))
+    listed = np.array(list(names), object)
+    found = _table(np.ones(len(at)), pa.array(listed[lang[at]], pa.string()),
+                   word.cast(pa.string()), np.zeros(len(at), np.uint64), hashes[at], total[often],
+                   hashes[at])
+    sums = np.bincount(lang, n, minlength=len(listed)).astype(np.int64)  # exact below 2^53
+    zeros = np.zeros(len(listed), np.uint64)
+    return pa.concat_tables([found, _table(
+        zeros, pa.array(listed, pa.string()), pa.nulls(len(listed), pa.string()), zeros, zeros, sums,
+        zeros)])
+
+
+def _table(k, lang: pa.Array, word: pa.Array, prefix, last, n, whole) -> pa.Table:
+    return pa.table({"k": pa.array(k.astype(np.int32)), "lang": lang, "word": word,
+                     "prefix": _longs(prefix), "last": _longs(last),
+                     "n": pa.array(n.astype(np.int64)), "id": _longs(whole)})
 
 
 def _longs(values: np.ndarray) -> pa.Array:
-    return pa.array(values.view(np.int64))
-
+    return pa.array(np.ascontiguousarray(values).view(np.int64))
 
-def _batch(k: int, lang, word, prefix, last, n: np.ndarray) -> pa.RecordBatch:
-    none = pa.nulls(len(n), pa.string())
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(n), k, np.int32)), none if lang is None else lang,
-         none if word is None else word, prefix, last, pa.array(n.astype(np.int64))],
-        ["k", "lang", "word", "prefix", "last", "n"])
 
+def _counts(docs: DataFrame, shards: int, least: int, now: Broadcast | None = None,
+            before: Broadcast | None = None) -> DataFrame:
+    """The phrases that are proposed or border and occur often enough, beyond those before.
 
-def _counts(docs: DataFrame, now: Broadcast | None, before: Broadcast | None) -> DataFrame:
-    """The counts of all phrases that are proposed or border, beyond those counted before."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        filters = [None if one is None else Proposed(np.frombuffer(
-            zstandard.ZstdDecompressor().decompress(one.value), np.uint8))
-            for one in (now, before)]
+    Rows of ``k`` zero are parts of a language's number of words.
+    """
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        filters = [None if one is None else Proposed(_bits(one.value)) for one in (now, before)]
         for batch in batches:
             for piece in slices(batch, "text", SLICE_BYTES) if batch.num_rows else ():
-                yield from _rows(Words(piece.column("text"), piece.column("lang")), *filters)
+                words = Words(piece.column("text"), piece.column("lang"))
+                found = list(zip(*_blocks_of(words, *filters, shards)))
+                if found:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found[0], pa.int64()), pa.array(found[1], pa.bool_()),
+                         pa.array(found[2], pa.binary())], ["shard", "words", "block"])
 
-    # tasks have added up their own counts: rows go to their phrase without another partial sum
-    return docs.mapInArrow(count, FIELDS).repartition(*KEYS).groupBy(*KEYS) \
-        .agg(F.sum("n").alias("n"))
+    return docs.mapInArrow(send, BLOCKS).groupBy("shard", "words") \
+        .applyInArrow(lambda table: _summed(table, least), FIELDS)
 
 
-def _with_hash(found: DataFrame) -> DataFrame:
-    """The counted phrases with their own hash."""
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _failures(found: DataFrame, now: Broadcast) -> DataFrame:
+    """The frequent phrases, short enough to be part of others, that were not proposed."""
+    def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        proposed = Proposed(_bits(now.value))
         for batch in batches:
-            prefix, last = [np.asarray(batch.column(name).fill_null(0)).view(np.uint64)
-                            for name in ("prefix", "last")]
-            whole = np.where(np.asarray(batch.column("k")) < 2, last, linked(prefix, last))
-            yield pa.RecordBatch.from_arrays([*batch.columns, _longs(whole)],
-                                             [*batch.schema.names, "id"])
+            ids = np.asarray(batch.column(0)).view(np.uint64)
+            yield pa.RecordBatch.from_arrays([_longs(ids[~proposed.holds(ids)])], ["id"])
 
-    return found.mapInArrow(own, FIELDS + ", id long")
+    return found.where(F.col("k").between(1, LONGEST - 1)).select("id") \
+        .mapInArrow(missed, "id long")
 
 
 def _filter(ids: DataFrame, and_those: bytes | None) -> bytes:
@@ -252,18 +336,6 @@ def _blocks(numbers: list[int], parts: list[np.ndarray]) -> pa.RecordBatch:
                                        "bits": pa.array(map(_squeezed, parts), pa.binary())})
 
 
-def _failures(found: DataFrame, now: Broadcast) -> DataFrame:
-    """The frequent phrases, short enough to be part of others, that were not proposed."""
-    def missed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        proposed = Proposed(_bits(now.value))
-        for batch in batches:
-            ids = np.asarray(batch.column(0)).view(np.uint64)
-            yield pa.RecordBatch.from_arrays([_longs(ids[~proposed.holds(ids)])], ["id"])
-
-    return found.where(F.col("k").between(1, LONGEST - 1)).select("id") \
-        .mapInArrow(missed, "id long")
-
-
 def lowered(min_count: int, sample: int) -> int:
     """The count in the sample from which on a phrase is proposed.
 
@@ -278,8 +350,8 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE,
     """All words and phrases with at least ``min_count`` occurrences in their language.
 
     Rows have ``k`` (words), ``id`` (hash), ``prefix`` and ``last`` (hashes of the parts), ``n``,
-    and ``lang`` and ``word`` for single words. Rows of ``k`` zero have a language's number of
-    words. A null text has no words; a null language is ``und``.
+    and ``lang`` and ``word`` for single words. Rows of ``k`` zero have parts of a language's
+    number of words. A null text has no words; a null language is ``und``.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -287,15 +359,16 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE,
                        docs[f"`{lang}`"].cast("string").alias("lang"),
                        F.xxhash64(*[docs[f"`{name}`"] for name in docs.columns
                                     if docs.schema[name].dataType.typeName() != "map"]).alias("at"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shards = max(1, -(-size // SHARD_BYTES))
     some = rows.where(F.pmod("at", F.lit(sample)) == 0).select("text", "lang")
     rows = rows.select("text", "lang")
-    likely = _with_hash(_counts(some, None, None).where(F.col("n") >= lowered(min_count, sample)))
-    now, before, found = _filter(likely.where("k > 0").select("id"), None), None, None
+    likely = _counts(some, shards, lowered(min_count, sample)).where("k > 0")
+    now, before, found = _filter(likely.select("id"), None), None, None
     while True:
         sent, earlier = spark.sparkContext.broadcast(now), \
             None if before is None else spark.sparkContext.broadcast(before)
-        counts = _counts(rows, sent, earlier).where((F.col("k") == 0) | (F.col("n") >= min_count))
-        more = written(_with_hash(counts), "frequent")
+        more = written(_counts(rows, shards, min_count, sent, earlier), "frequent")
         found = more if found is None else found.unionByName(more)
         failed = written(_failures(more, sent), "failures")
         if not failed.limit(1).count():
@@ -356,7 +429,7 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, first: int = FIRST
     found = frequent(docs, min_count, sample, text, lang)
     levels = spelled(found)
     counts = found.where("k > 0").select("id", "n")
-    totals = found.where("k = 0").select("lang", F.col("n").alias("total"))
+    totals = found.where("k = 0").groupBy("lang").agg(F.sum("n").alias("total"))
     cuts = _parts(levels[1])
     for phrases in levels[2:]:
         cuts = cuts.unionByName(_parts(phrases))

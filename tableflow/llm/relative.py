@@ -11,6 +11,7 @@ up one by one.
 from __future__ import annotations
 
 import hashlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -18,11 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableflow.llm.arrow import WHITE, WORD
 from tableflow.llm.windows import _FIRST, Search, Texts, as_words, searched, span_hashes, \
     word_hashes
 
 SIZE = 50
 ANCHOR = 8
+_WORD = re.compile(WORD).finditer
 
 
 def judge(data: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -86,7 +89,7 @@ FIELDS = T.StructType([T.StructField("doc_id", T.LongType()),
                        T.StructField("kept_sha256", T.StringType())])
 
 
-def _finished(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
+def _finished(table: pa.Table, texts: Texts, removed: np.ndarray, with_kept: bool) -> pa.Table:
     offsets = texts.documents
     first, last = texts.words
     kept = texts.data[np.repeat(~removed, last - first + 1)]
@@ -95,12 +98,42 @@ def _finished(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
     raw = kept.tobytes()
     left = [raw[a:max(a, b - 1)] for a, b in zip(sizes[offsets[:-1]].tolist(),
                                                  sizes[offsets[1:]].tolist())]
-    return pa.table({
+    found = {
         "doc_id": table.column("doc_id"), "n_words": pa.array(np.diff(offsets)),
         "n_removed": pa.array(np.diff(total[offsets])),
-        "kept_sha256": pa.array([hashlib.sha256(one).hexdigest() for one in left], pa.string()),
-        "kept": pa.array([one.decode() for one in left], pa.string()),
-        "text": table.column("text"), "row": table.column("row")})
+        "kept_sha256": pa.array([hashlib.sha256(one).hexdigest() for one in left], pa.string())}
+    if with_kept:
+        kept = _cut_texts(table.column("text"), removed, offsets)
+        found |= {"kept": pa.array(kept, pa.string()), "text": table.column("text"),
+                  "row": table.column("row")}
+    return pa.table(found)
+
+
+def _cut_texts(texts: pa.ChunkedArray, removed: np.ndarray, offsets: np.ndarray) -> list[str | None]:
+    """The texts without their removed words; a text that loses none is as it was."""
+    total = np.concatenate([[0], np.cumsum(removed)])
+    lost = (total[offsets[1:]] > total[offsets[:-1]]).tolist()
+    return [cut_text(text, removed[first:end]) if some else text for text, some, first, end in
+            zip(texts.to_pylist(), lost, offsets[:-1].tolist(), offsets[1:].tolist())]
+
+
+def cut_text(text: str, removed: np.ndarray) -> str:
+    """The text without these words and the white space after them; all other stays as it is.
+
+    Where the last words go, the white space before them goes, too.
+    """
+    spans = [word.span() for word in _WORD(text)]
+    kept, at = [], 0
+    for start, end in runs(removed):
+        kept.append(text[at:spans[start][0]])
+        at = spans[end][0] if end < len(spans) else len(text)
+    return "".join([*kept, text[at:]]) if at < len(text) else "".join(kept).rstrip(WHITE)
+
+
+def runs(marked: np.ndarray) -> list[tuple[int, int]]:
+    """The first place and the end of each run of marked places."""
+    change = np.diff(marked.astype(np.int8), prepend=0, append=0)
+    return list(zip(np.flatnonzero(change == 1).tolist(), np.flatnonzero(change == -1).tolist()))
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
@@ -110,11 +143,11 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     A word goes if a window of 50 words that covers it also starts in a document with a smaller
     id. Documents of one id are no copies of each other's; a document without an id keeps all its
     words and takes none from others; a null text has no words. ``with_kept`` adds ``kept``, the
-    words that are left with one space between them, the ``text`` as it was, and ``row``, the
-    document's other columns.
+    text without what was removed (its other white space stays), the ``text`` as it was, and
+    ``row``, the document's other columns.
     """
     def finish(table: pa.Table, texts: Texts, removed: np.ndarray) -> pa.Table:
-        return _finished(table, texts, removed).select(fields.fieldNames())
+        return _finished(table, texts, removed, with_kept)
 
     carried = [name for name in docs.columns if name != text] if with_kept else []
     fields = FIELDS
@@ -130,8 +163,8 @@ def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             length: str | None = None) -> DataFrame:
     """The documents without their repeats, in their own columns.
 
-    Documents that hold no repeat keep their texts as they are. Of the others the words that are
-    left remain; documents of which no word is left go. ``length`` names a column that holds the
+    Documents that hold no repeat keep their texts as they are. From the others the repeats are cut
+    with the white space after them; documents of which no word is left go. ``length`` names a column that holds the
     text's characters and follows the change.
     """
     found = without_repeats(docs, doc_id, text, with_kept=True)

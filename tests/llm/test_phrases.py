@@ -92,8 +92,8 @@ def test_chunks_of_words_meet(monkeypatch):
 
     def sums():
         total = Counter()
-        for k, prefix, last, _, n in phrases.counted(phrases.Words(texts, langs), None, None):
-            total.update(dict(zip(zip([k] * len(n), prefix.tolist(), last.tolist()), n.tolist())))
+        for k, _, prefix, hashes in phrases.counted(phrases.Words(texts, langs), None, None):
+            total.update(zip([k] * len(hashes), prefix.tolist(), hashes.tolist()))
         return total
 
     whole = sums()
