@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tableflow.llm import jaccard, packing, quality, relative
+from tableflow.llm import packing, quality, relative, simhash
 from tableflow.scratch import written
 
 
@@ -19,8 +19,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (0.8 of all 5-word shingles) the least id stays."""
-    return jaccard.representatives(docs)
+    """Of each group of near-duplicates (fingerprints of 3-word shingles that differ in 2 bits or
+    fewer) the least id stays."""
+    return simhash.representatives(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
