@@ -25,40 +25,56 @@ from tableflow.llm.windows import as_words, blocks_of, mixed, word_hashes
 from tableflow.scratch import ship_package, written
 
 SAMPLES = 64
-#: Terms are hashed into so many bins, whose random draws each worker holds in memory.
-BINS = 1 << 16
+#: Rows of the tables that a term's draws are put together from: one row of each, by its hash.
+ROWS = 1 << 14
 SEED = 8
 SLICE_BYTES = 1 << 20
+#: Terms that compete at once; the samples' winners go on to the next ones.
+CHUNK = 1 << 13
 
 
 @lru_cache(maxsize=1)
 def draws() -> tuple[np.ndarray, ...]:
-    """For each bin and sample: r and ln c (gamma of shape 2), beta, and ln a of weight 1."""
+    """Of two tables by row and sample: r (gamma of shape 2), beta and r (1 - beta) of the one,
+    ln c (gamma of shape 2) of the other.
+
+    Terms have a row of each by different bits of their hashes. Those that share one row differ in
+    the other, so all terms compete on their own however many there are.
+    """
     rng = np.random.default_rng(SEED)
-    r = rng.gamma(2, size=(BINS, SAMPLES)).astype(np.float32)
-    c = np.log(rng.gamma(2, size=(BINS, SAMPLES))).astype(np.float32)
-    beta = rng.random((BINS, SAMPLES), np.float32)
-    return r, c, beta, c - r * (1 - beta)
+    r = rng.gamma(2, size=(ROWS, SAMPLES)).astype(np.float32)
+    beta = rng.random((ROWS, SAMPLES), np.float32)
+    c = np.log(rng.gamma(2, size=(ROWS, SAMPLES))).astype(np.float32)
+    return r, beta, r * (1 - beta), c
 
 
-def signature(bins: np.ndarray) -> np.ndarray:
-    """A byte for each sample of a text whose terms have these bins, repeats included."""
-    if not len(bins):
+def signature(terms: np.ndarray) -> np.ndarray:
+    """A byte for each sample of a text with these terms (64-bit hashes), repeats included."""
+    if not len(terms):
         return np.zeros(SAMPLES, np.uint8)
-    bins, weights = np.unique(bins, return_counts=True)
-    r, c, beta, single = draws()
-    level = np.zeros((len(bins), SAMPLES), np.float32)
-    value = single[bins]
-    more = np.flatnonzero(weights > 1)
-    if len(more):
-        own = bins[more]
-        level[more] = np.floor(np.log(weights[more])[:, None].astype(np.float32) / r[own]
-                               + beta[own])
-        value[more] = c[own] - r[own] * (level[more] - beta[own] + 1)
-    drawn = value.argmin(axis=0)
-    at = bins[drawn].astype(np.uint64) << np.uint64(20)
-    return (mixed(at + level[drawn, np.arange(SAMPLES)].astype(np.uint64) + np.uint64(1))
-            >> np.uint64(56)).astype(np.uint8)
+    terms, weights = np.unique(terms, return_counts=True)
+    r, beta, single, c = draws()
+    samples = np.arange(SAMPLES)
+    least = np.full(SAMPLES, np.inf, np.float32)
+    winner, reached = np.zeros(SAMPLES, np.uint64), np.zeros(SAMPLES, np.uint64)
+    for low in range(0, len(terms), CHUNK):
+        own, weight = terms[low:low + CHUNK], weights[low:low + CHUNK]
+        one = (own & np.uint64(ROWS - 1)).astype(np.int64)
+        other = (own >> np.uint64(32) & np.uint64(ROWS - 1)).astype(np.int64)
+        value = c[other] - single[one]
+        more = np.flatnonzero(weight > 1)
+        level = np.zeros((len(own), SAMPLES), np.float32) if len(more) else None
+        if len(more):
+            row = one[more]
+            level[more] = np.floor(np.log(weight[more])[:, None].astype(np.float32) / r[row]
+                                   + beta[row])
+            value[more] = c[other[more]] - r[row] * (level[more] - beta[row] + 1)
+        drawn = value.argmin(axis=0)
+        better = value[drawn, samples] < least
+        at = drawn[better]
+        least[better], winner[better] = value[at, samples[better]], own[at]
+        reached[better] = 0 if level is None else level[at, samples[better]].astype(np.uint64)
+    return (mixed(winner ^ mixed(reached + np.uint64(1))) >> np.uint64(56)).astype(np.uint8)
 
 
 def signatures(column: list[str]) -> np.ndarray:
@@ -67,8 +83,6 @@ def signatures(column: list[str]) -> np.ndarray:
     first, last = split.words
     words = word_hashes(split.data, first, last)
     pairs = mixed(blocks_of(words, 2)[0]) if len(words) > 1 else words[:0]
-    low = np.uint64(BINS - 1)
-    words, pairs = (words & low).astype(np.int64), (pairs & low).astype(np.int64)
     found = np.zeros((len(column), SAMPLES), np.uint8)
     for i, (a, b) in enumerate(zip(split.documents[:-1], split.documents[1:])):
         found[i] = signature(np.concatenate([words[a:b], pairs[a:max(a, b - 1)]]))

@@ -149,3 +149,33 @@ def test_samples_estimate_the_similarity():
 def test_fingerprints_keep_the_rows(documents):
     rows = weighted.fingerprinted(documents).collect()
     assert len(rows) == documents.count() and all(len(row["fingerprint"]) == 128 for row in rows)
+
+
+@pytest.mark.parametrize("count", [100_000, 300_000])
+def test_unrelated_long_texts_are_unlike(count):
+    one, other = (" ".join(f"{mark}{i}" for i in range(count)) for mark in "ab")
+    a, b = weighted.signatures([one, other])
+    assert weighted.likeness(a[None], b[None])[0] < 0.1
+
+
+def test_long_edited_texts_have_their_similarity():
+    rng, errors = random.Random(4), []
+    for share in (0.9, 0.75, 0.5, 0.3):
+        for count in (2_000, 50_000, 120_000):
+            one = [f"w{rng.randrange(1 << 40)}" if rng.random() < 0.7 else rng.choice("abcdefgh")
+                   for _ in range(count)]
+            kept = int(count * share)
+            other = one[:kept] + [f"x{rng.randrange(1 << 40)}" for _ in range(count - kept)]
+            terms = [Counter(own) + Counter(zip(own, own[1:])) for own in (one, other)]
+            exact = sum((terms[0] & terms[1]).values()) / sum((terms[0] | terms[1]).values())
+            a, b = weighted.signatures([" ".join(one), " ".join(other)])
+            errors.append(weighted.likeness(a[None], b[None])[0] - exact)
+    assert np.abs(errors).max() < 0.2 and np.abs(errors).mean() < 0.07
+    assert abs(np.mean(errors)) < 0.05
+
+
+def test_signatures_do_not_depend_on_chunks(monkeypatch):
+    texts = [" ".join(f"w{i % 997} v{i}" for i in range(5000))]
+    whole = weighted.signatures(texts)
+    monkeypatch.setattr(weighted, "CHUNK", 100)
+    assert (weighted.signatures(texts) == whole).all()
