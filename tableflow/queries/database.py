@@ -14,6 +14,7 @@ from tableflow.queries.lake import EXPORTED, order_job
 from tableflow.queries.registry import load, query, view
 from tableflow.scratch import scratch_dir, unique
 from tableflow.sinks.jdbc import append, create_if_missing, replace_partition
+from tableflow.sources.ordered import ordered_scan
 from tableflow.sources.jdbc import (
     Connection, balanced_scan, probe_split, read_source, scan, split_scan)
 from tableflow.spec import ColumnSpec, JobSpec, PartitionSpec
@@ -88,6 +89,13 @@ def q_jdbc_balanced_scan(spark, sf_dir):
     return balanced_scan(spark, connection, table, ["o_custkey", "o_orderkey"], splits=16)
 
 
+@query("select * from orders")
+def q_jdbc_ordered_scan(spark, sf_dir):
+    """Ranges of a timestamp, then of a text where one moment has too many rows."""
+    connection, table = _source(spark, sf_dir, "orders")
+    return ordered_scan(spark, connection, table, ["o_orderdate", "o_orderpriority"], splits=12)
+
+
 @query("""select min(o_orderkey) as min_key, max(o_orderkey) as max_key,
                  cast(least(1000, (max(o_orderkey) - min(o_orderkey)) // 5000 + 1) as bigint)
                    as split_count

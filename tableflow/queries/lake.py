@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tableflow.operators.losses import TooManyLosses, as_rows
 from tableflow.operators.projection import in_target_order
 from tableflow.plans.ddl import add_columns, create_like_ddl, create_table
-from tableflow.plans.export import ExportSettings, export_job, export_jobs
+from tableflow.plans.export import ExportSettings, JobsFailed, export_job, export_jobs
 from tableflow.plans.migrate import migrate, migrate_changed
 from tableflow.queries.registry import load, query
 from tableflow.scratch import scratch_dir, unique, written
@@ -245,6 +245,35 @@ def q_export_job_list(spark, sf_dir):
     return spark.table(table)
 
 
+@query(" union all ".join(f"select *, '{status}' as target, 1 as failed_jobs from ("
+                          f"{EXPORTED.format(dt=dt)} and o_orderstatus = '{status}')"
+                          for status, dt in (("F", "'d2'"), ("O", "'d1'"), ("P", "'d1'"))))
+def q_export_jobs_at_once(spark, sf_dir):
+    """Jobs into several tables at the same time; one that fails does not end the others."""
+    orders, tables = load(spark, sf_dir, "orders"), {s: unique("exported") for s in "FOP"}
+    jobs = [order_job(tables[s], scratch_dir(spark, tables[s]), spec, source)
+            for s, spec, source in (("F", "dt=d1", "orders.F"), ("O", "dt=d1", "orders.O"),
+                                    ("O", "dt=d2", "lost"), ("P", "dt=d1", "orders.P"))]
+    # The later job of a table finds what the earlier one left: its partition is moved.
+    sources = {f"orders.{s}": orders.where(F.col("o_orderstatus") == s) for s in "FOP"}
+    sources["lost"] = orders.drop("o_custkey")
+    jobs.append(order_job(tables["F"], jobs[0].location, "dt=d2", "orders.F"))
+    jobs.append(order_job(tables["F"], jobs[0].location, "dt=d1", "none"))
+    sources["none"] = orders.limit(0)
+    settings = ExportSettings(create=True, catalogs={},
+                              static_targets=frozenset({tables["F"]}))
+    failed = 0
+    try:
+        export_jobs(spark, jobs, settings, sources, at_once=3)
+    except JobsFailed as raised:
+        failed = sum(result.error is not None for result in raised.results)
+    found = None
+    for status, table in tables.items():
+        rows = spark.table(table).withColumn("target", F.lit(status))
+        found = rows if found is None else found.unionByName(rows)
+    return found.withColumn("failed_jobs", F.lit(failed))
+
+
 def _lossy_job(table, location, spec):
     """Dates that are years for some orders, prices too large for their type, keys in text."""
     return JobSpec.from_dict({

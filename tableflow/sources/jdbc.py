@@ -124,7 +124,7 @@ def read_source(spark: SparkSession, connection: Connection, table: str,
     ``partitionColumn``, or else the job's key, splits the scan; ``lowerBound``, ``upperBound``
     and ``numPartitions`` refine it, and ``maxSplits`` (1000) bounds a count that is probed.
     ``balanced`` splits by row counts, with ``tieColumns`` to cut single values, or nulls, that
-    hold too many rows.
+    hold too many rows; with a column that is no number, by the order of the values.
     """
     def setting(name: str) -> str:
         return spark.conf.get(CONF_PREFIX + name, "") or ""
@@ -138,7 +138,13 @@ def read_source(spark: SparkSession, connection: Connection, table: str,
         return scan(spark, connection, table)
     if setting("balanced").lower() == "true":
         ties = [c.strip() for c in setting("tieColumns").split(",") if c.strip()]
-        return balanced_scan(spark, connection, table, [split_column, *ties],
+        found, columns = scan(spark, connection, table), [split_column, *ties]
+        kinds = [found.schema[_real_name(found, c)].dataType for c in columns]
+        if not all(isinstance(kind, T.NumericType) for kind in kinds):
+            from tableflow.sources.ordered import ordered_scan
+            return ordered_scan(spark, connection, table, columns,
+                                splits=number("numPartitions"), max_splits=max_splits)
+        return balanced_scan(spark, connection, table, columns,
                              splits=number("numPartitions"), max_splits=max_splits)
     return split_scan(spark, connection, table, split_column, lower=number("lowerBound"),
                       upper=number("upperBound"), splits=number("numPartitions"),
