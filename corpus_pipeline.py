@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.llm import packing, quality, relative, simhash
-from tableflow.scratch import written
+from tableflow.scratch import handed_out, written_last
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,8 +42,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows for the documents of a folder."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows for the documents of a folder.
+
+    What a stage wrote on its way goes as soon as its result is written, and so do the documents
+    that it worked on.
+    """
+    docs, since = spark.read.parquet(f"{sf_dir}/documents.parquet"), handed_out()
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "_"))
+        docs = written_last(stage(spark, docs, sf_dir), name.replace(" ", "_"), since)
     return docs

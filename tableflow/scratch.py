@@ -1,4 +1,4 @@
-"""Scratch folders, checkpoints and shipped code, for results that are read repeatedly."""
+"""Scratch folders and shipped code, for results that are read repeatedly."""
 
 from __future__ import annotations
 
@@ -45,24 +45,37 @@ def written(df: DataFrame, name: str, compression: str | None = None) -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows kept in the shared checkpoint folder, for a result that is read repeatedly."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(scratch_dir(df.sparkSession, "checkpoint"))
-    return df.checkpoint()
+def written_last(df: DataFrame, name: str, since: int) -> DataFrame:
+    """Like ``written``; then the scratch handed out after ``since`` (``handed_out()``) is removed.
+
+    For a step whose result needs nothing of what was written on the way to it.
+    """
+    spark = df.sparkSession
+    found = written(df, name)
+    done = [folder for folder in _folders[since:-1] if folder[0] is spark]
+    for folder in done:
+        _remove(*folder)
+        _folders.remove(folder)
+    return found
+
+
+def handed_out() -> int:
+    """How many scratch folders are in use."""
+    return len(_folders)
 
 
 def remove_scratch() -> None:
     """Remove the scratch folders handed out so far whose application still runs."""
     while _folders:
-        spark, path = _folders.pop()
-        context = spark.sparkContext
-        if context._jsc is None or context._jsc.sc().isStopped():
-            continue
-        folder = context._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        _remove(*_folders.pop())
+
 
+def _remove(spark: SparkSession, path: str) -> None:
+    context = spark.sparkContext
+    if context._jsc is None or context._jsc.sc().isStopped():
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def unique(name: str) -> str:
