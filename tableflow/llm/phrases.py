@@ -48,8 +48,8 @@ SAMPLE = 10
 FILTER_BITS = 28
 FILTER_BLOCKS = 64
 #: Text that a task looks at at once (a document at least), and words of it.
-SLICE_BYTES = 4 << 20
-CHUNK = 1 << 19
+SLICE_BYTES = 2 << 20
+CHUNK = 1 << 18
 #: Text whose phrases are counted in a shard, about.
 SHARD_BYTES = 12 << 20
 
