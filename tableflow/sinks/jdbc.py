@@ -22,13 +22,15 @@ STAGING_ATTEMPTS = 3
 class Dialect:
     """What differs between target databases.
 
-    ``staging`` creates an empty copy of a table; databases without it have no transaction
-    over delete and insert, and are loaded directly.
+    ``staging`` creates an empty copy of a table. ``exchange`` is the one statement by which a
+    database without a transaction over delete and insert puts a staged partition in the old one's
+    place; such databases are staged only when asked to.
     """
 
     driver: str
     batch_size: int
     staging: str = ""
+    exchange: str = ""
     partition_type: str = "VARCHAR(255)"
     comments: bool = True
     if_not_exists: bool = True
@@ -40,8 +42,14 @@ class Dialect:
 DIALECTS = {
     "mysql": Dialect("com.mysql.jdbc.Driver", 1000,
                      staging="CREATE TABLE {staging} LIKE {table}"),
-    "doris": Dialect("com.mysql.jdbc.Driver", 5000, can_create=False),
+    "doris": Dialect("com.mysql.jdbc.Driver", 5000, can_create=False,
+                     staging="CREATE TABLE {staging} LIKE {table}",
+                     exchange="INSERT OVERWRITE TABLE {table} PARTITION(*) ({names}) "
+                              "SELECT {names} FROM {staging}"),
     "clickhouse": Dialect("ru.yandex.clickhouse.ClickHouseDriver", 50_000,
+                          staging="CREATE TABLE {staging} AS {table} ENGINE = MergeTree "
+                                  "PARTITION BY ({keys}) ORDER BY tuple()",
+                          exchange="ALTER TABLE {table} REPLACE PARTITION ({values}) FROM {staging}",
                           partition_type="String"),
     "derby": Dialect("org.apache.derby.iapi.jdbc.AutoloadedDriver", 1000,
                      staging="CREATE TABLE {staging} AS SELECT * FROM {table} WITH NO DATA",
@@ -112,12 +120,45 @@ def clear_statement(db_type: str, table: str, spec: PartitionSpec,
         return None
     values = [v for _, v in spec.pairs]
     if db_type == "clickhouse":
-        texts = ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
-        return f"ALTER TABLE {table} DROP PARTITION ({texts})", []
+        return f"ALTER TABLE {table} DROP PARTITION ({_escaped_texts(values)})", []
     condition = " AND ".join(f"{quote(k)} = ?" for k in spec.keys)
     return f"DELETE FROM {table} WHERE {condition}", values
 
 
+def _escaped_texts(values: Sequence[str]) -> str:
+    return ", ".join("'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for v in values)
+
+
+def stage_statement(db_type: str, table: str, staging: str, spec: PartitionSpec,
+                    quote: Callable[[str], str] = str) -> str:
+    """What creates an empty table beside the target for its next partition."""
+    kind = dialect(db_type)
+    if kind.exchange and not spec:
+        raise SpecError(f"{db_type} exchanges partitions; the load names none")
+    return kind.staging.format(staging=staging, table=table,
+                               keys=", ".join(quote(k) for k in spec.keys))
+
+
+def swap_statements(db_type: str, table: str, staging: str, spec: PartitionSpec,
+                    names: Sequence[str], rows: int,
+                    quote: Callable[[str], str] = str) -> list[tuple[str, list[str]]]:
+    """What puts the staged rows in the old partition's place.
+
+    Delete and insert in one transaction, or a single statement of the database that replaces the
+    partition: readers see the old rows or the new ones. An exchange with no rows would leave the
+    old partition, which is removed instead.
+    """
+    kind, clear = dialect(db_type), clear_statement(db_type, table, spec, quote)
+    listed = ", ".join(quote(n) for n in names)
+    if not kind.exchange:
+        insert = f"INSERT INTO {table} ({listed}) SELECT {listed} FROM {staging}"
+        return [*([clear] if clear else []), (insert, [])]
+    if not rows:
+        return [clear] if clear else []
+    return [(kind.exchange.format(table=table, staging=staging, names=listed,
+                                  values=_escaped_texts([v for _, v in spec.pairs])), [])]
+
+
 def replace_partition(df: DataFrame, connection: Connection, db_type: str, table: str,
                       spec: PartitionSpec, *, batch_size: int | None = None,
                       writers: int | None = None, staged: bool | None = None) -> None:
@@ -126,7 +167,9 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
     Staged (the default where the database can): rows go to an empty copy of the table, are
     counted there, and take the place of the old ones in one transaction. A lost executor
     or a repeated task can then neither leave the partition empty nor double its rows: a
-    load that does not hold what was written is thrown away and repeated.
+    load that does not hold what was written is thrown away and repeated. Doris and ClickHouse
+    are staged if asked to: they exchange the partition by a statement of their own, which needs
+    a target that is partitioned by the spec's columns.
     Directly: delete, then append; a failure in between has to be answered by a new run.
     ``writers`` bounds the connections at work; without it every task opens one.
     """
@@ -135,7 +178,7 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
     rows = limit_writers(df, writers or int(spark.conf.get(WRITERS_CONF, "") or 0))
     clear = clear_statement(db_type, table, spec, lambda name: connection.quote(spark, name))
     if staged is None:
-        staged = bool(kind.staging)
+        staged = bool(kind.staging and not kind.exchange)
     if staged and not kind.staging:
         raise SpecError(f"{db_type} cannot swap a staged load")
     if not staged:
@@ -144,19 +187,22 @@ def replace_partition(df: DataFrame, connection: Connection, db_type: str, table
         append(rows, connection, table, batch)
         return
     for _ in range(STAGING_ATTEMPTS):
-        if _staged_load(rows, connection, kind, table, clear, batch):
+        if _staged_load(rows, connection, db_type, table, spec, batch):
             return
     raise RuntimeError(f"{STAGING_ATTEMPTS} staged loads did not hold the rows that were written; "
                        f"{table} is unchanged")
 
 
-def _staged_load(rows: DataFrame, connection: Connection, kind: Dialect, table: str,
-                 clear: tuple[str, list[str]] | None, batch: int) -> bool:
+def _staged_load(rows: DataFrame, connection: Connection, db_type: str, table: str,
+                 spec: PartitionSpec, batch: int) -> bool:
     """Load, count and swap in; False, with the table unchanged, when the count is wrong."""
     spark = rows.sparkSession
     staging = unique(table.replace('"', "").replace("`", "") + "_staging")
-    names = ", ".join(connection.quote(spark, n) for n in rows.columns)
-    execute(spark, connection, [(kind.staging.format(staging=staging, table=table), [])])
+
+    def quote(name: str) -> str:
+        return connection.quote(spark, name)
+
+    execute(spark, connection, [(stage_statement(db_type, table, staging, spec, quote), [])])
     try:
         # Counted in the writing stage itself, where a repeated task counts once.
         written = Observation("written")
@@ -165,9 +211,8 @@ def _staged_load(rows: DataFrame, connection: Connection, kind: Dialect, table:
             "query", f"select count(*) as n from {staging}").load().first()[0]
         if stored != written.get["rows"]:
             return False
-        swap = [clear] if clear else []
-        swap.append((f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}", []))
-        execute(spark, connection, swap)
+        execute(spark, connection, swap_statements(db_type, table, staging, spec, rows.columns,
+                                                   stored, quote))
         return True
     finally:
         execute(spark, connection, [(f"DROP TABLE {staging}", [])])

@@ -6,7 +6,7 @@ from tableflow.plans.csvload import TooManyRejects, csv_load_with_rejects
 from tableflow.scratch import unique
 from tableflow.spec import PartitionSpec, SpecError
 
-GOOD = ["1,one,1.5,2024-01-01", '2,"two, with ""quotes""",,', "3,,2,2024-02-29"]
+GOOD = ["1,one,1.5,2024-01-01", '2,"two, quoted",,', "3,,2,2024-02-29"]
 BAD = {"x,four,1,2024-01-01": "id is no bigint",
        ",five,1,2024-01-01": "no id",
        "6,six,much,2024-02-30": "price is no double; day is no date",
