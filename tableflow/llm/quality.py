@@ -27,6 +27,8 @@ RULES = {
 }
 BASE = ("short", "repetitive")
 #: A host fails a rule if more than this share of its documents is expected to fail.
+#: Variances of rates below this are rounding.
+LEAST_VARIANCE = 1e-12
 HOST_LIMIT = 0.5
 
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_lines long, n_dup_lines long, "
@@ -80,21 +82,26 @@ def host_verdicts(documents: DataFrame, limit: float = HOST_LIMIT) -> DataFrame:
     """One row per host: documents, failures by rule, and whether the host is rejected.
 
     The prior of a rule is a beta distribution with the mean and the variance that the rate has
-    over the hosts (method of moments). Hosts that are all alike have no variance: the prior then
-    weighs as much as all documents of an average host. Hosts with a null name are one host.
+    over the hosts (method of moments), less what chance alone makes rates of few documents vary.
+    Hosts that are all alike, up to chance, have no variance: the prior then weighs as much as all
+    documents of an average host. Hosts with a null name are one host.
     """
     counts = documents.groupBy("host").agg(
         F.count("*").alias("n_docs"),
         *[F.sum(F.expr(rule).cast("long")).alias(f"n_{name}") for name, rule in RULES.items()])
-    moments = [F.avg("n_docs").alias("docs_mean")]
+    moments = [F.avg("n_docs").alias("docs_mean"),
+               F.avg(F.lit(1.0) / F.col("n_docs")).alias("chance")]
     for name in RULES:
         rate = F.col(f"n_{name}") / F.col("n_docs")
         moments += [F.avg(rate).alias(f"mean_{name}"), F.var_pop(rate).alias(f"var_{name}")]
     prior = counts.agg(*moments).first()  # one row of numbers
     failed = F.lit(False)
     for name in RULES:
-        mean, variance = prior[f"mean_{name}"] or 0.0, prior[f"var_{name}"] or 0.0
-        weight = max(mean * (1 - mean) / variance - 1, 0.0) if variance else prior["docs_mean"]
+        mean, spread = prior[f"mean_{name}"] or 0.0, prior[f"var_{name}"] or 0.0
+        # A rate p of n documents varies by p (1 - p) / n on its own.
+        variance = spread - (prior["chance"] or 1.0) * mean * (1 - mean)
+        weight = max((1 - prior["chance"]) * mean * (1 - mean) / variance - 1, 0.0) \
+            if variance > LEAST_VARIANCE else prior["docs_mean"]
         shrunk = (F.col(f"n_{name}") + mean * (weight or 0.0)) / (F.col("n_docs") + (weight or 0.0))
         failed = failed | (shrunk > limit)
     return counts.select("host", "n_docs", *[f"n_{name}" for name in RULES],

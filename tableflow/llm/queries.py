@@ -35,8 +35,9 @@ def _quality_sql() -> str:
     rates, shrunk = [], []
     for name in quality.RULES:
         rates.append(f"avg(n_{name} / n_docs) mean_{name}, var_pop(n_{name} / n_docs) var_{name}")
-        weight = (f"case when var_{name} > 0 then greatest(mean_{name} * (1 - mean_{name}) "
-                  f"/ var_{name} - 1, 0.0) else docs_mean end")
+        variance = f"(var_{name} - chance * mean_{name} * (1 - mean_{name}))"
+        weight = (f"case when {variance} > {quality.LEAST_VARIANCE} then greatest((1 - chance) * "
+                  f"mean_{name} * (1 - mean_{name}) / {variance} - 1, 0.0) else docs_mean end")
         shrunk.append(f"(n_{name} + mean_{name} * ({weight})) / (n_docs + ({weight})) "
                       f"> {quality.HOST_LIMIT}")
     counts = ", ".join(f"sum(case when {rule} then 1.0 else 0.0 end) n_{name}"
@@ -60,7 +61,7 @@ m as (select w.doc_id, source, len(words) n_words,
     coalesce(repeats.n, 0) n_repeat_words
   from w left join repeats on repeats.doc_id = w.doc_id),
 hosts as (select source, count(*) n_docs, {counts} from m group by source),
-prior as (select avg(n_docs) docs_mean, {', '.join(rates)} from hosts),
+prior as (select avg(n_docs) docs_mean, avg(1.0::double / n_docs) chance, {', '.join(rates)} from hosts),
 verdicts as (select source, {' or '.join(f'({x})' for x in shrunk)} host_rejected
   from hosts, prior)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

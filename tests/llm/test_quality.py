@@ -1,5 +1,6 @@
 """Quality rules and preference formatting against brute force."""
 
+import random
 import re
 
 import pytest
@@ -61,6 +62,26 @@ def test_a_prior_shrinks_small_hosts(spark):
     assert not verdicts["new"]
 
 
+def test_chance_is_no_variance(spark):
+    """Rates of small hosts that only chance tells apart: the prior stays strong, so that a host
+    with six failures of seven documents isn't rejected; hosts that truly differ make it weak."""
+    good, bad = " ".join(f"w{i}" for i in range(60)), "too short"
+    rng = random.Random(5)
+    alike = [(0, f"host{i}", bad if rng.random() < 0.3 else good) for i in range(300)
+             for _ in range(10)]
+    apart = [(0, f"host{i}", bad if rng.random() < (0.05 if i % 4 else 0.95) else good)
+             for i in range(300) for _ in range(10)]
+    odd = [(1, "odd", bad)] * 6 + [(1, "odd", good)]
+    rejected = []
+    for rows in (alike, apart):
+        docs = spark.createDataFrame(rows + odd, "doc_id long, source string, text string")
+        verdicts = {row["host"]: row["host_rejected"] for row in
+                    quality.host_verdicts(quality.measured(docs)).collect()}
+        rejected.append((verdicts["odd"], sum(verdicts.values())))
+    assert rejected[0][0] is False and rejected[0][1] <= 3
+    assert rejected[1][0] is True and 60 <= rejected[1][1] <= 90
+
+
 TURNS = [  # pair, chosen, turn, role, text
     (1, True, 0, "system", "s"), (1, True, 1, "user", "u"), (1, True, 2, "assistant", "yes"),
     (1, False, 0, "system", "s"), (1, False, 1, "user", "u"), (1, False, 2, "assistant", "no"),
