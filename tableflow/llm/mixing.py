@@ -348,7 +348,7 @@ def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for part, block in zip(batch.column("part").to_pylist(), batch.column("block")):
-            own = unsqueezed(block.as_py())[0]
+            own = unsqueezed(block.as_py())[0].astype(np.int64)
             sums[part] = sums[part] + own if part in sums else own
     for part, block in sums.items():
         yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()),
@@ -363,7 +363,18 @@ def bit_counts(train: DataFrame) -> list[np.ndarray]:
         return no_counts()
     flat = np.concatenate([unsqueezed(row["block"])[0] for row in sorted(rows)])
     bounds = np.cumsum([table.size for table in no_counts()])[:-1]
-    return [part.reshape(-1, 2) for part in np.split(flat.astype(np.uint32), bounds)]
+    return [part.reshape(-1, 2) for part in np.split(fitted(flat.reshape(-1, 2)).reshape(-1),
+                                                     bounds)]
+
+
+def fitted(pairs: np.ndarray) -> np.ndarray:
+    """Zeros and ones in 32 bits: a pair with a larger count is halved until it fits."""
+    most = pairs.max(axis=1, keepdims=True)
+    halved = pairs.copy()
+    while (over := most >= 1 << 32).any():
+        halved = np.where(over, halved >> 1, halved)
+        most = np.where(over, most >> 1, most)
+    return halved.astype(np.uint32)
 
 
 _ready: dict[str, Predictors] = {}

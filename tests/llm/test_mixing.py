@@ -112,3 +112,9 @@ def test_model_beats_the_base_on_unseen_texts(spark):
     rows = [row for row in mixing.scored(docs.repartition(3)).collect() if row["held_out"]]
     base, score = (sum(row[name] for row in rows) for name in ("base_score", "score"))
     assert score > 0.75 * base
+
+
+def test_large_counts_keep_their_shares():
+    pairs = np.array([[1, 2], [0, (1 << 32) - 1], [1 << 32, 3 << 32], [1 << 40, 7], [0, 0]])
+    assert mixing.fitted(pairs).tolist() == [
+        [1, 2], [0, (1 << 32) - 1], [1 << 30, 3 << 30], [1 << 31, 0], [0, 0]]
