@@ -72,7 +72,9 @@ class Merges:
             symbols = name.removesuffix(mark)
             if name in made or len(symbols) == 1:
                 (self.final if name.endswith(mark) and symbols else self.inner)[symbols] = number
-        self.longest = max(map(len, [*self.inner, *self.final]), default=1)
+        #: Beginnings of tokens: the token where one ends there (not at a word's end), else -1.
+        self.begun = dict.fromkeys((name[:end] for name in [*self.inner, *self.final]
+                                    for end in range(1, len(name))), -1) | self.inner
         if any(symbol not in self.inner or symbol not in self.final
                for symbol in byte_characters()):
             raise ValueError("the vocabulary lacks single bytes")
@@ -113,45 +115,58 @@ class Merges:
 
     def encoded(self, words: Iterable[str]) -> Iterator[tuple[str, list[int]]]:
         """Each word (of visible characters, not empty) with its ids, in sorted order."""
-        states, lengths, before = [-1], [0], ""  # of the first 0, 1, 2, ... symbols
+        # of the first 0, 1, 2, ... symbols: the last token, its length, and where a token that
+        # isn't over may begin
+        path: list[tuple[int, int, list[int]]] = [(-1, 0, [])]
+        before = ""
         for word in sorted(words):
             inner = len(word) - 1  # the last symbol has an edge of its own
-            shared, most = 0, min(inner, len(states) - 1)
+            shared, most = 0, min(inner, len(path) - 1)
             while shared < most and word[shared] == before[shared]:
                 shared += 1
-            del states[shared + 1:], lengths[shared + 1:]
+            del path[shared + 1:]
             for end in range(shared + 1, inner + 1):
-                self.visit(word, end, self.inner, states, lengths)
-            self.visit(word, inner + 1, self.final, states, lengths)
-            found, at = [], inner + 1
+                path.append(self.visit(word, end, path))
+            token, length = self.ending(word, path)
+            found, at = [token], inner + 1 - length
             while at:
-                found.append(states[at])
-                at -= lengths[at]
+                token, length, _ = path[at]
+                found.append(token)
+                at -= length
             yield word, found[::-1]
-            states.pop()
-            lengths.pop()
             before = word
 
-    def visit(self, word: str, end: int, tokens: dict[str, int], states: list[int],
-              lengths: list[int]) -> None:
-        """Add the state of the node of the first ``end`` symbols to those of its ancestors."""
-        low = end - self.longest
-        for start in range(low if low > 0 else 0, end):  # the longest token first
-            token = tokens.get(word[start:end])
+    def visit(self, word: str, end: int, path: list) -> tuple[int, int, list[int]]:
+        """The state of the node of the first ``end`` symbols, from its ancestors' states."""
+        begun, neighbours = self.begun.get, self.neighbours.get
+        open_at, last, length = [], -1, 0
+        for start in (*path[-1][2], end - 1):  # the longest token first
+            token = begun(word[start:end])
             if token is None:
                 continue
-            if start:
-                beside = self.neighbours.get((states[start], token))
+            open_at.append(start)
+            if token >= 0 and not length:
+                beside = neighbours((path[start][0], token)) if start else self.stands(token)
                 if beside is None:
-                    beside = self.beside(states[start], token)
-            else:
-                beside = self.stands(token)
-            if beside:
-                states.append(token)
-                lengths.append(end - start)
-                return
+                    beside = self.beside(path[start][0], token)
+                if beside:
+                    last, length = token, end - start
+        return last, length, open_at
+
+    def ending(self, word: str, path: list) -> tuple[int, int]:
+        """The last token of the whole word and its length."""
+        end = len(word)
+        for start in (*path[-1][2], end - 1):
+            token = self.final.get(word[start:])
+            if token is not None and (self.beside_known(path[start][0], token) if start
+                                      else self.stands(token)):
+                return token, end - start
         raise AssertionError("a single symbol always stands")  # pragma: no cover
 
+    def beside_known(self, left: int, right: int) -> bool:
+        found = self.neighbours.get((left, right))
+        return self.beside(left, right) if found is None else found
+
 
 class Words:
     """Encodes whole texts as ``Tokenizer.encode(text, add_special_tokens=False)`` would.
