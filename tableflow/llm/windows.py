@@ -7,10 +7,13 @@ meet all others in one task:
    consecutive windows that have the same *anchor*, the k units in them whose hash is least. Equal
    windows have equal anchors, so they are only looked for in the shard that the anchor's hash
    names.
-2. Each bundle tells each shard its anchors' hashes; the shards answer which of them other
-   bundles have, too. All other windows are done with.
+2. Each bundle tells each shard its anchors' hashes and how many texts it has with each; the
+   shards answer which of them other bundles have, too, and which are *crowded*: a phrase in very
+   many contexts. Windows whose anchor only their own bundle has are done with.
 3. Each bundle sends the texts of the remaining runs to their shards, each text once, with the
-   least document id that has it there: copies are joined before the shuffle.
+   least document id that has it there: copies are joined before the shuffle. The windows of
+   crowded anchors go on their own, to the shards that their own hashes name, each once with its
+   least id: so no shard gets all contexts of a phrase, however many there are.
 4. A shard joins equal texts of all bundles, and a judge that is given (an induced suffix array,
    a relative Lempel-Ziv parse) finds the equal windows among what remains. It answers with a bit
    for each window.
@@ -18,7 +21,8 @@ meet all others in one task:
    A text's later documents need no answer: the window starts in the first.
 
 The rows between these steps are compressed blocks, one for each bundle and shard. Hashes only
-choose what is compared: texts and windows are equal if their bytes are.
+choose what is compared: texts and windows are equal if their bytes are. Windows of crowded anchors
+are equal if two 64-bit hashes of them are.
 """
 
 from __future__ import annotations
@@ -44,6 +48,8 @@ BUNDLES_A_SHARD = 4
 #: Windows that are looked at together, and the text that a judge gets at once, about.
 CHUNK = 1 << 16
 JUDGED_BYTES = 3 << 20
+#: Texts with one anchor, in all bundles, beyond which its windows are looked for one by one.
+CROWDED = 4096
 #: Classes of anchors within a shard, by which it can be worked off piece by piece.
 CLASSES = 64
 
@@ -431,7 +437,8 @@ class Search:
                     bits[i][first:first + count] = found[at:at + count]
                     at += count
             low = high
-        return [squeezed(np.packbits(own)) for own in bits]
+        return [squeezed(np.packbits(own), np.packbits(single))
+                for own, single in zip(bits, least_elsewhere(blocks))]
 
     def _judged(self, windows: np.ndarray, ids: np.ndarray, sizes: np.ndarray, tags: np.ndarray,
                 data: np.ndarray) -> np.ndarray:
@@ -473,22 +480,32 @@ class Bundle:
     def __init__(self, table: pa.Table, texts: Texts, runs: Runs, ids: np.ndarray, size: int):
         self.table, self.texts, self.runs, self.ids, self.size = table, texts, runs, ids, size
 
-    def anchors(self, shards: int) -> dict[int, np.ndarray]:
-        """For each shard, the sorted hashes of the bundle's anchors (48 bits of them)."""
-        keys = distinct(self.runs.anchor)
-        shard = shard_of(keys, shards)
-        order = np.argsort(shard, kind="stable")
+    def anchors(self, shards: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """For each shard, the sorted hashes of the bundle's anchors (48 bits of them), and how
+        many texts have each."""
+        _, example = equal_groups(self.runs.digest, self.runs.anchor)
+        held = self.runs.anchor[example]
+        shard = shard_of(held, shards)
+        order = np.lexsort((held, shard))
         cut = np.flatnonzero(np.diff(shard[order])) + 1
-        return {int(shard[part[0]]): distinct(keys[part] >> U(16))
-                for part in np.split(order, cut) if len(part)}
+        found = {}
+        for part in np.split(order, cut):
+            if len(part):
+                keys = held[part] >> U(16)
+                starts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+                found[int(shard[part[0]])] = keys[starts], np.diff(np.append(starts, len(keys)))
+        return found
 
-    def sent(self, shards: int, shared: np.ndarray) -> tuple[dict[int, bytes], bytes]:
-        """For each shard a block of texts to look for; and a block for the bundle itself.
+    def sent(self, shards: int, shared: np.ndarray,
+             crowded: np.ndarray) -> tuple[dict[int, bytes], bytes]:
+        """For each shard a block of texts, and of single windows, to look for; and a block for
+        the bundle itself.
 
-        ``shared`` are the anchors (sorted) that other bundles have, too. Anchors with several
-        texts within the bundle are sent in any case. The bundle's own block has the runs that
-        repeat a text of a smaller id in the bundle, and the runs that the answers will be about,
-        in the order of the shards.
+        ``shared`` are the anchors (sorted) that other bundles have, too, ``crowded`` those of
+        them whose windows are looked for one by one. Anchors with several texts within the bundle
+        are sent in any case. The bundle's own block has the runs that repeat a text of a smaller
+        id in the bundle, the runs that the answers will be about, in the order of the shards, and
+        the runs of crowded anchors with the places of their windows in the answers.
         """
         runs = self.runs
         first, last = self.texts.byte_spans(runs.start, runs.start + runs.windows + self.size - 1)
@@ -498,7 +515,9 @@ class Bundle:
         kinds, _ = equal_groups(keys)
         wanted = np.bincount(kinds)[kinds] > 1 if len(kinds) else np.zeros(0, bool)
         wanted |= contained(keys >> U(16), shared)
-        chosen = np.flatnonzero(wanted)
+        alone = contained(keys >> U(16), crowded)
+        windows = self._windows(np.flatnonzero(alone[group]), shards)
+        chosen = np.flatnonzero(wanted & ~alone)
         shard = shard_of(keys[chosen], shards)
         order = np.lexsort((example[chosen], class_of(keys[chosen]), shard))
         chosen, shard = chosen[order], shard[order]
@@ -511,25 +530,101 @@ class Bundle:
                     runs.windows[rows].astype(np.uint16), self.ids[rows],
                     (last[rows] - first[rows]).astype(np.uint32),
                     (runs.anchor[rows] >> U(32)).astype(np.uint32),
-                    gathered(self.texts.data, first[rows], last[rows]))
+                    gathered(self.texts.data, first[rows], last[rows]), *windows.of(int(shard[part[0]])))
+        none = np.zeros(0, np.uint32)
+        for number in windows.shards.difference(blocks):
+            blocks[number] = squeezed(np.zeros(CLASSES, np.uint32), none.astype(np.uint16),
+                                      none.astype(np.int64), none, none, none.astype(np.uint8),
+                                      *windows.of(number))
         # what has the text of a sent one and is in a document of the same id is asked for, too
         place = np.full(len(example), -1, np.int64)
         place[chosen] = np.arange(len(chosen))
-        later = self.ids > least[group]
+        later = (self.ids > least[group]) & ~alone[group]
         asked = np.flatnonzero(~later & (place[group] >= 0))
         own = squeezed(runs.start[later].astype(np.uint32), runs.windows[later].astype(np.uint16),
                        runs.start[asked].astype(np.uint32), runs.windows[asked].astype(np.uint16),
                        place[group[asked]].astype(np.uint32),
-                       runs.windows[example[chosen]].astype(np.uint16), shard.astype(np.uint32))
+                       runs.windows[example[chosen]].astype(np.uint16), shard.astype(np.uint32),
+                       *windows.own)
         return blocks, own
 
+    def _windows(self, rows: np.ndarray, shards: int) -> "_Windows":
+        """The windows of these runs, equal ones joined, by the shards of their hashes."""
+        runs = self.runs
+        starts, counts = runs.start[rows], runs.windows[rows].astype(np.int64)
+        one, other = window_hashes(self.texts, self.size, gathered_ranges(starts, counts))
+        ids = np.repeat(self.ids[rows], counts)
+        group, example = equal_groups(one, other)
+        least = np.full(len(example), np.iinfo(np.int64).max)
+        np.minimum.at(least, group, ids)
+        shard = shard_of(one[example], shards)
+        order = np.lexsort((one[example], shard))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        example, shard = example[order], shard[order]
+        return _Windows(one[example], other[example], least[order], shard, [
+            starts.astype(np.uint32), counts.astype(np.uint32), place[group].astype(np.uint32),
+            np.packbits(ids > least[group]), shard.astype(np.uint32)])
+
+
+@dataclass
+class _Windows:
+    """A bundle's windows of crowded anchors, in the order of their shards."""
+
+    one: np.ndarray  # two hashes of each
+    other: np.ndarray
+    least: np.ndarray  # its least id in the bundle
+    shard: np.ndarray
+    own: list[np.ndarray]  # what the bundle notes for itself
+
+    @property
+    def shards(self) -> set[int]:
+        return set(np.unique(self.shard).tolist())
+
+    def of(self, shard: int) -> list[np.ndarray]:
+        low, high = np.searchsorted(self.shard, [shard, shard + 1])
+        return [_steps(self.one[low:high]), self.other[low:high], self.least[low:high]]
+
+
+def window_hashes(texts: Texts, size: int, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of the units of each window that starts at one of these (sorted) units."""
+    one, other = np.empty(len(starts), np.uint64), np.empty(len(starts), np.uint64)
+    at = 0
+    while at < len(starts):
+        low = int(starts[at])
+        end = int(np.searchsorted(starts, low + CHUNK))
+        units = texts.hashes(low, int(starts[end - 1]) + size)
+        own = starts[at:end] - low
+        one[at:end] = blocks_of(units, size)[0][own]
+        other[at:end] = blocks_of(mixed(units ^ _FIRST), size)[0][own]
+        at = end
+    return mixed(one), mixed(other)
+
+
+def least_elsewhere(blocks: list[list[np.ndarray]]) -> list[np.ndarray]:
+    """For each block's windows whether another bundle has them with a smaller id."""
+    sizes = [len(block[7]) for block in blocks]
+    if not sum(sizes):
+        return [np.zeros(0, bool) for _ in blocks]
+    one = np.concatenate([np.cumsum(block[6], dtype=np.uint64) for block in blocks])
+    other, ids = [np.concatenate([block[k] for block in blocks]) for k in (7, 8)]
+    order = np.lexsort((other, one))
+    one, other = one[order], other[order]
+    new = np.flatnonzero(np.append(True, (one[1:] != one[:-1]) | (other[1:] != other[:-1])))
+    least = np.repeat(np.minimum.reduceat(ids[order], new), np.diff(np.append(new, len(order))))
+    found = np.empty(len(order), bool)
+    found[order] = ids[order] > least
+    return np.split(found, np.cumsum(sizes)[:-1])
+
 
 def repeated(units: int, own: bytes, answers: dict[int, bytes]) -> np.ndarray:
     """For each unit of a bundle, whether a window starts there that a smaller id has, too."""
+    noted = unsqueezed(own)
     later, later_windows, start, windows, place, counts, shard = [
-        column.astype(np.int64) for column in unsqueezed(own)]
+        column.astype(np.int64) for column in noted[:7]]
     found = np.zeros(units, bool)
     found[gathered_ranges(later, later_windows)] = True
+    _mark_windows(found, noted[7:], answers)
     ends = np.cumsum(counts)
     bits = [np.zeros(0, bool)]
     for part in np.split(np.arange(len(shard)), np.flatnonzero(np.diff(shard)) + 1):
@@ -542,6 +637,19 @@ def repeated(units: int, own: bytes, answers: dict[int, bytes]) -> np.ndarray:
     return found
 
 
+def _mark_windows(found: np.ndarray, noted: list[np.ndarray], answers: dict[int, bytes]) -> None:
+    """Mark the windows of crowded anchors that a smaller id has, here or in another bundle."""
+    starts, counts, place, later, shard = noted
+    if not len(starts):
+        return
+    elsewhere = []
+    for part in np.split(shard, np.flatnonzero(np.diff(shard.astype(np.int64))) + 1):
+        elsewhere.append(np.unpackbits(unsqueezed(answers[int(part[0])])[1],
+                                       count=len(part)).astype(bool))
+    gone = np.concatenate(elsewhere)[place] | np.unpackbits(later, count=len(place)).astype(bool)
+    found[gathered_ranges(starts.astype(np.int64), counts.astype(np.int64))[gone]] = True
+
+
 def gathered_ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The numbers of all ranges one after the other."""
     total = int(counts.sum())
@@ -568,10 +676,11 @@ def covered(starts: np.ndarray, size: int) -> np.ndarray:
 def searched(docs: DataFrame, search: Search,
              finish: Callable[[pa.Table, Texts, np.ndarray], pa.Table],
              fields: T.StructType, doc_id: str, text: str, carried: list[str],
-             bundle_bytes: int = BUNDLE_BYTES) -> DataFrame:
+             bundle_bytes: int = BUNDLE_BYTES, crowded: int = CROWDED) -> DataFrame:
     """Each bundle's documents as ``finish`` makes them of their texts and the covered units.
 
-    ``carried`` columns are at hand in the bundle's table, as the struct ``row``.
+    Anchors with more than ``crowded`` texts have their windows looked for one by one. ``carried``
+    columns are at hand in the bundle's table, as the struct ``row``.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -586,24 +695,33 @@ def searched(docs: DataFrame, search: Search,
     def anchors(table: pa.Table) -> pa.Table:
         at = table.column("bundle")[0].as_py()
         found = search.bundle(table).anchors(shards)
-        return _blocks(at, {shard: squeezed(_steps(keys)) for shard, keys in found.items()})
+        return _blocks(at, {shard: squeezed(_steps(keys), n.astype(np.uint32))
+                            for shard, (keys, n) in found.items()})
 
     def shared(table: pa.Table) -> pa.Table:
-        keys = [np.cumsum(unsqueezed(block.as_py())[0], dtype=np.uint64)
-                for block in table.column("block")]
-        every = np.sort(np.concatenate(keys))
-        several = distinct(every[1:][every[1:] == every[:-1]])
+        keys, n = zip(*[unsqueezed(block.as_py()) for block in table.column("block")])
+        keys = [np.cumsum(steps, dtype=np.uint64) for steps in keys]
+        every = np.concatenate(keys)
+        order = np.argsort(every)
+        every = every[order]
+        starts = np.flatnonzero(np.append(True, every[1:] != every[:-1]))
+        bundles_with = np.diff(np.append(starts, len(every)))
+        texts = np.add.reduceat(np.concatenate(n)[order].astype(np.int64), starts)
+        several = every[starts[bundles_with > 1]]
+        many = every[starts[(bundles_with > 1) & (texts > crowded)]]
         return pa.table({"bundle": table.column("bundle"), "shard": table.column("shard"),
-                         "block": pa.array([squeezed(np.packbits(contained(own, several)))
+                         "block": pa.array([squeezed(np.packbits(contained(own, several)),
+                                                     np.packbits(contained(own, many)))
                                             for own in keys], pa.binary())})
 
     def send(key: tuple, table: pa.Table, told: pa.Table) -> pa.Table:
         bundle = search.bundle(table)
-        own, keys = bundle.anchors(shards), [np.zeros(0, np.uint64)]
+        own, keys = bundle.anchors(shards), [[np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]]
         for shard, block in zip(told.column("shard").to_pylist(), told.column("block")):
-            keys.append(own[shard][np.unpackbits(unsqueezed(block.as_py())[0],
-                                                 count=len(own[shard])).astype(bool)])
-        blocks, itself = bundle.sent(shards, np.sort(np.concatenate(keys)))
+            held = own[shard][0]
+            for bits, found in zip(unsqueezed(block.as_py()), keys):
+                found.append(held[np.unpackbits(bits, count=len(held)).astype(bool)])
+        blocks, itself = bundle.sent(shards, *[np.sort(np.concatenate(found)) for found in keys])
         at = table.column("bundle")[0].as_py()
         return _blocks(at, {**blocks, -1 - at: itself})
 

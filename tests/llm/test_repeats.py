@@ -44,10 +44,11 @@ def as_words(text):
     return [word.encode() for word in WORD.findall(text)]
 
 
-@pytest.fixture(params=["one bundle", "many bundles"])
+@pytest.fixture(params=["one bundle", "many bundles", "crowded anchors", "some crowded"])
 def bundles(request, monkeypatch):
-    if request.param == "many bundles":
-        monkeypatch.setattr(windows.searched, "__defaults__", (4000,))
+    if request.param != "one bundle":
+        crowded = {"many bundles": windows.CROWDED, "crowded anchors": 0, "some crowded": 5}
+        monkeypatch.setattr(windows.searched, "__defaults__", (4000, crowded[request.param]))
 
 
 def test_bytes_equal_brute_force(documents, bundles):
@@ -99,6 +100,31 @@ def test_suffix_array_and_prefixes(letters):
             assert common[at] == length
 
 
+def test_a_phrase_in_every_document_is_spread_over_shards():
+    """A shard does not get all contexts of a phrase: its windows go to many shards."""
+    rng = np.random.default_rng(3)
+    phrase, rows = "the same words stand in every text of them ", []
+    for i in range(600):
+        around = ["".join(chr(97 + c) for c in rng.integers(0, 26, 80)) for _ in range(2)]
+        rows.append((i, around[0] + phrase + around[1]))
+    parts = [pa.table({"doc_id": pa.array([i for i, _ in rows[k::6]], pa.int64()),
+                       "text": pa.array([text for _, text in rows[k::6]])}) for k in range(6)]
+    bundles = [suffixes.BYTES.bundle(part) for part in parts]
+    keys = [np.concatenate([np.repeat(key, n) for key, n in bundle.anchors(8).values()])
+            for bundle in bundles]
+    every, n = np.unique(np.concatenate(keys), return_counts=True)
+    assert n.max() > 300  # texts with one anchor
+    most = []
+    for crowded in (every[:0], every[n > 100]):
+        loads = np.zeros(8)
+        for bundle in bundles:
+            blocks, _ = bundle.sent(8, every[n > 1], crowded)
+            for shard, block in blocks.items():
+                loads[shard] += sum(column.nbytes for column in windows.unsqueezed(block))
+        most.append(loads.max() / loads.mean())
+    assert most[0] > 3 and most[1] < 1.5
+
+
 def test_runs_cover_every_window_once():
     text = "".join(chr(97 + i * i % 23) for i in range(3000))
     texts = windows.as_bytes(pa.array([text, "", "kurz", text[:60], None]))
