@@ -7,7 +7,6 @@ library's own pre-tokenizer and model when it is first met.
 
 from __future__ import annotations
 
-import re
 import sys
 from array import array
 from collections.abc import Iterable
@@ -23,9 +22,7 @@ LONGEST_KEPT = 16
 #: Marks that end words, and what a part without a space before it begins with.
 MARKS = ".,"
 BARE = "\1"
-#: A mark that isn't a pre-token of its own, and a line's end that isn't one.
-_JOINED = re.compile(r"[\W_][.,][ \n]").search
-_LINE_END = re.compile(r"\.\n(?![^\W_])").search
+ENDS = {*MARKS, ".\n"}
 
 
 def byte_characters() -> list[str]:
@@ -78,46 +75,52 @@ class _Irregular(Exception):
 class ByParts:
     """Ids of whole texts, joined from the ids of their parts.
 
-    A part is kept under its text without the space before it. Where texts consist of ``letters``
-    for the most part, their commas and periods are made parts of their own, so that a word is
-    kept once: ``BARE`` before a part tells that no space goes before it.
+    A part is kept under its text without the space before it. With ``letters``, which encodes a
+    run of letters, commas and periods at the ends of words are made parts of their own, so that a
+    word is kept once: ``BARE`` before a part tells that no space goes before it.
     """
 
     def __init__(self, encode, letters=None):
         self.encode, self.letters = encode, letters
         self.parts = Kept(self.part_ids)
 
-    def part_ids(self, part: str) -> bytes:
-        if part[:1] == BARE:
-            word = part[1:]
-            return self.letters(word) if word.isalpha() else self.encode(word)
-        if self.letters is not None and part.isalpha():  # one pre-token, with the space
-            return self.letters(" " + part)
-        if not part or part[0].isspace() or part[-1].isspace():
-            raise _Irregular
-        return self.encode(" " + part)
-
     def ids(self, text: str) -> bytes:
-        first, *rest = (self.regular(text) or text).split(" ")
-        try:
-            if first[-1:].isspace() or (not first and rest):
-                raise _Irregular
-            return self.encode(first) + b"".join(map(self.parts.__getitem__, rest))
-        except _Irregular:
-            return b"".join(map(self.run_ids, regular_runs(text)))
-
-    def regular(self, text: str) -> str | None:
-        """The text with a space before each mark that follows a letter or digit and ends a word.
-
-        None if some mark follows another one or white space, with which it would be one pre-token,
-        or if a line's end after a period is not between visible characters.
+        for cut in (self.marked(text), text):
+            if cut is not None:
+                first, *rest = cut.split(" ")
+                if not first[-1:].isspace() and (first or not rest):
+                    try:
+                        return self.encode(first) + b"".join(map(self.parts.__getitem__, rest))
+                    except _Irregular:
+                        pass
+        return b"".join(map(self.run_ids, regular_runs(text)))
+
+    def marked(self, text: str) -> str | None:
+        """The text with a space before each comma or period that ends a word.
+
+        None if not all of them follow a letter or digit, after which they are pre-tokens.
         """
-        if self.letters is None or BARE in text or text[:1] in MARKS or _JOINED(text) \
-                or _LINE_END(text):
+        if self.letters is None or BARE in text:
             return None
+        found = text + " "  # a mark may end the text
         for mark in MARKS:
-            text = text.replace(mark + " ", f" {BARE}{mark} ")
-        return text.replace(".\n", f" {BARE}.\n {BARE}")
+            found = found.replace(mark + " ", f" {BARE}{mark} ")
+        found = found.replace(".\n", f" {BARE}.\n {BARE}")[:-1]
+        before = found.split(" " + BARE)[:-1]
+        return found if all([one[-1:].isalnum() or one == ".\n" for one in before]) else None
+
+    def part_ids(self, part: str) -> bytes:
+        if self.letters is not None:
+            if part.isalpha():  # one pre-token, with the space
+                return self.letters(" " + part)
+            if part[:1] == BARE:
+                word = part[1:]
+                if word in ENDS or word[:1].isalnum() and not word[-1].isspace():
+                    return self.letters(word) if word.isalpha() else self.encode(word)
+                raise _Irregular
+        if not part or part[0].isspace() or part[-1].isspace():
+            raise _Irregular
+        return self.encode(" " + part)
 
     def run_ids(self, run: str) -> bytes:
         part = run[1:]

@@ -95,6 +95,25 @@ def test_pipeline_equals_brute_force(spark, tmp_path):
         assert at == len(ids)
 
 
+def test_pipeline_of_no_documents_and_of_odd_ones(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, ids string"
+    long = " ".join(f"w{i}" for i in range(40_000))
+    rows = [(None, None, None, None, None, "x"), (1, None, "en", "a", 0, "x"), (2, "", "en", None, 0, "x"),
+            (3, long, "en", "a", len(long), "x"), (3, long, "en", "a", len(long), "x"),
+            (4, long, None, None, len(long), "x"), (None, long[:4000], "en", "b", 4000, "x")]
+    for name, made in (("none", []), ("odd", rows)):
+        folder = tmp_path / name
+        spark.createDataFrame(made, schema).write.parquet(str(folder / "documents.parquet"))
+        docs = spark.read.parquet(str(folder / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            docs = stage(spark, docs, str(folder))
+            assert docs.schema.fieldNames() == [*COLUMNS, "ids"]
+        left = sorted((row["doc_id"] or 0, row["ids"]) for row in docs.collect())
+        assert left == ([] if name == "none" else [(0, "x"), (3, "x")])
+        pieces = corpus_pipeline.run(spark, str(folder)).collect()
+        assert {row["doc_id"] for row in pieces} == (set() if name == "none" else {None, 3})
+
+
 def test_queries_are_registered():
     names = __spark_entry__.queries()
     assert "pipeline" in names

@@ -81,6 +81,18 @@ def test_one_representative_stays(documents):
     assert sorted(i for i in ids if i is not None) == sorted({row["doc_id"] for row in rows})
 
 
+def test_no_documents_no_texts_and_other_columns(spark, documents):
+    assert simhash.near_duplicates(documents.limit(0)).collect() == []
+    assert simhash.representatives(documents.limit(0)).collect() == []
+    rows = [(1, None, "x", 5), (2, "", "x", 5), (3, " \n", "x", 5), (None, None, "x", 5),
+            (4, "a b c " * 30_000, "x", 5), (5, "a b c " * 30_000, "x", 5), (5, "a b c " * 30_000, "x", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp string, component_id int")
+    kept = simhash.representatives(docs)
+    assert kept.schema == docs.schema
+    assert sorted((row["doc_id"] or 0, row["fp"], row["component_id"]) for row in kept.collect()) == [
+        (0, "x", 5), (1, "x", 5), (4, "x", 5)]
+
+
 def test_thresholds_are_the_best():
     work = [[0, 5, 9, 30], [0, 1, 2, 3], [0, 4, 4, 50]]
     cost, levels = simhash.thresholds(work, 2)
