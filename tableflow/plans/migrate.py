@@ -13,6 +13,9 @@ from tableflow.sinks.lake import dynamic_overwrite, full_overwrite, static_overw
 from tableflow.sources.tables import read_table
 from tableflow.spec import PartitionSpec, SpecError, column
 
+#: Values of a partition column that a scan is given one by one.
+PRUNED = 1000
+
 
 def migrate(spark: SparkSession, source: str, target: str, spec: PartitionSpec | None = None, *,
             provider: str = "parquet", location: str = "") -> None:
@@ -91,7 +94,16 @@ def _compared(spark: SparkSession, source: str, target: str, keys: list[str]) ->
 
 
 def _of_partitions(rows: DataFrame, partitions: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows of these partitions; Spark prunes the others' files by the join."""
+    """The rows of these partitions.
+
+    The scan is given the values of the first partition column, unless they are very many, so that
+    no files of other values are read; a join with the partitions decides.
+    """
+    first, kind = column(keys[0]), rows.schema[keys[0]].dataType
+    values = [row[0] for row in partitions.select(first).distinct().limit(PRUNED + 1).collect()]
+    if len(values) <= PRUNED:
+        chosen = first.isin([F.lit(v).cast(kind) for v in values if v is not None])
+        rows = rows.where(chosen | first.isNull() if None in values else chosen)
     names = [f"_key{i}" for i in range(len(keys))]
     wanted = partitions.select(*[column(k).alias(n) for k, n in zip(keys, names)])
     alike = F.lit(True)

@@ -9,11 +9,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tableflow.functions.fingerprint import SUMS, hash_sums, row_hash
 from tableflow.sinks.keyvalue import sharded_export
 from tableflow.spec import SpecError
 
+#: Files of a shard that follow each other and are looked through together for a key.
+FILES_TOGETHER = 64
+
 #: What the index says of a file.
 COLUMNS = ["shard_id", "file", "bytes", "pairs", "first_key", "last_key", *SUMS]
 
@@ -89,13 +93,17 @@ def locate(keys: DataFrame, manifest: DataFrame) -> DataFrame:
     """The keys (``shard_id``, ``key_bytes``) with each ``file`` whose range holds them.
 
     Files of a shard follow each other in key order, so a key is in one file's range, or, if it
-    has copies, in those of neighbours; a key that no range holds is left out. Keys meet the files
-    of their own shard only.
+    has copies, in those of neighbours; a key that no range holds is left out. A key is compared
+    with runs of 64 files of its own shard, and then with the files of the runs that may hold it.
     """
-    files = manifest.select("shard_id", "file", "first_key", "last_key")
-    return keys.join(files, "shard_id").where(
-        F.col("key_bytes").between(F.col("first_key"), F.col("last_key"))) \
-        .drop("first_key", "last_key")
+    place = F.row_number().over(Window.partitionBy("shard_id").orderBy("first_key", "last_key", "file"))
+    files = manifest.select("shard_id", "file", "first_key", "last_key") \
+        .withColumn("_run", F.floor((place - 1) / FILES_TOGETHER))
+    runs = files.groupBy("shard_id", "_run").agg(
+        F.min("first_key").alias("first_key"), F.max("last_key").alias("last_key"))
+    held = F.col("key_bytes").between(F.col("first_key"), F.col("last_key"))
+    near = keys.join(runs, "shard_id").where(held).drop("first_key", "last_key")
+    return near.join(files, ["shard_id", "_run"]).where(held).drop("first_key", "last_key", "_run")
 
 
 def read_located(spark: SparkSession, path: str, keys: DataFrame, manifest: DataFrame) -> DataFrame:

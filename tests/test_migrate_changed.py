@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tableflow.functions.fingerprint import fingerprints
-from tableflow.plans.migrate import migrate_changed
+from tableflow.plans.migrate import _of_partitions, migrate_changed
 from tableflow.scratch import unique
 from tableflow.sinks.lake import dynamic_overwrite, full_overwrite
 from tableflow.spec import SpecError
@@ -80,6 +80,17 @@ def test_null_and_quoted_partitions_and_interrupted_copies(spark, tmp_path):
     assert content(spark, target) == content(spark, source)
 
 
+def test_only_the_copied_partitions_are_read(spark, tmp_path):
+    source = table(spark, ROWS, tmp_path)
+    for wanted, count in (([("x", "2024-01-01")], 1), ([(None, "2024-01-01"), ("it's", None)], 2)):
+        partitions = spark.createDataFrame(wanted, "k string, d string")
+        rows = _of_partitions(spark.table(source), partitions, ["k", "d"])
+        assert rows.count() == count
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        filters = plan[plan.index("PartitionFilters: [") + 19:].partition("PushedFilters")[0]
+        assert str(wanted[-1][0]) in filters
+
+
 def test_extra_partitions(spark, tmp_path):
     source, target = table(spark, ROWS[:2], tmp_path), unique("copy")
     migrate_changed(spark, source, target, location=str(tmp_path / target))
