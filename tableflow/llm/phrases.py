@@ -5,9 +5,9 @@ documents is counted first; the phrases that are frequent in it, at a lowered co
 The full pass counts every word, the proposed phrases and their *negative border*: the phrases that
 are not proposed but whose two parts without the last and without the first word are. What is
 frequent is either counted, or it holds a counted phrase of the border that is frequent: such a
-failure is added to the proposals, and a further pass counts what becomes border by it, and at
-once what would by that, until a pass brings no failure. Counts are exact; the sample only decides
-on the passes.
+failure is added to the proposals, and a further pass expands them until they are closed: it counts
+what becomes border by a failure, takes all of that for proposed, counts what becomes border by
+that, and so on up to the longest phrases. Counts are exact; the sample only decides on the work.
 
 The border is never listed, it would be all pairs of words: each place in a text tells by its
 own two parts whether its phrase is counted. The proposals are sent to the tasks as a filter of a
@@ -50,8 +50,9 @@ FILTER_BLOCKS = 64
 #: Text that a task looks at at once (a document at least), and words of it.
 SLICE_BYTES = 2 << 20
 CHUNK = 1 << 18
-#: Text whose phrases are counted in a shard, about.
+#: Text whose phrases are counted in a shard, about, and parts of them that are counted at once.
 SHARD_BYTES = 12 << 20
+CLASSES = 8
 
 #: White space between words, and what ends a piece (fixed by the contract).
 BLANK, BREAK = b" \t", b".,;:!?\n\v\f\r"
@@ -209,16 +210,25 @@ def _summed(table: pa.Table, least: int) -> pa.Table:
     """Of a shard's blocks the phrases that occur often enough, and the languages' words."""
     if table.column("words")[0].as_py():
         return _summed_words(table, least)
-    prefix, last, n, k = [np.concatenate(column) for column in zip(*[
-        (np.cumsum(steps, dtype=np.uint64), last, n, k) for steps, last, n, k in
-        (unsqueezed(block.as_py()) for block in table.column("block"))])]
-    hashes = linked(prefix, last)
-    order, starts, _ = _grouped(hashes)
-    total = np.add.reduceat(n[order].astype(np.int64), starts) if len(starts) else n
-    often = np.flatnonzero(total >= least)
-    at = order[starts[often]]
-    none = pa.nulls(len(at), pa.string())
-    return _table(k[at], none, none, prefix[at], last[at], total[often], hashes[at])
+    parts = []
+    for block in table.column("block"):
+        steps, last, n, k = unsqueezed(block.as_py())
+        prefix = np.cumsum(steps, dtype=np.uint64)
+        parts.append((prefix, last, n, k, linked(prefix, last)))
+    found = []
+    for number in range(CLASSES):  # one after the other, which takes less memory
+        own = [[column[at] for column in part] for part in parts
+               if len(at := np.flatnonzero(part[4] & U(CLASSES - 1) == number))]
+        if not own:
+            continue
+        prefix, last, n, k, hashes = [np.concatenate(column) for column in zip(*own)]
+        order, starts, _ = _grouped(hashes)
+        total = np.add.reduceat(n[order].astype(np.int64), starts)
+        often = np.flatnonzero(total >= least)
+        at = order[starts[often]]
+        none = pa.nulls(len(at), pa.string())
+        found.append(_table(k[at], none, none, prefix[at], last[at], total[often], hashes[at]))
+    return pa.concat_tables(found)
 
 
 def _summed_words(table: pa.Table, least: int) -> pa.Table:
@@ -364,16 +374,15 @@ def frequent(docs: DataFrame, min_count: int = MIN_COUNT, sample: int = SAMPLE,
     some = rows.where(F.pmod("at", F.lit(sample)) == 0).select("text", "lang")
     rows = rows.select("text", "lang")
     likely = _counts(some, shards, lowered(min_count, sample)).where("k > 0")
-    now, before, found = _filter(likely.select("id"), None), None, None
-    while True:
-        sent, earlier = spark.sparkContext.broadcast(now), \
-            None if before is None else spark.sparkContext.broadcast(before)
-        more = written(_counts(rows, shards, min_count, sent, earlier), "frequent")
-        found = more if found is None else found.unionByName(more)
-        failed = written(_failures(more, sent), "failures")
-        if not failed.limit(1).count():
-            return found
-        before, now = now, _filter(failed, now)
+    proposed = _filter(likely.select("id"), None)
+    before = spark.sparkContext.broadcast(proposed)
+    found = written(_counts(rows, shards, min_count, before), "frequent")
+    failed = written(_failures(found, before), "failures")
+    if not failed.limit(1).count():
+        return found
+    # What this pass finds can't be the start of more: it has counted what that would bring, too.
+    now = spark.sparkContext.broadcast(_filter(failed, proposed))
+    return found.unionByName(written(_counts(rows, shards, min_count, now, before), "frequent_2"))
 
 
 def spelled(found: DataFrame) -> list[DataFrame]:
