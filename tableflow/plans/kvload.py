@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tableflow.sinks.files import write_parquet_gzip
 from tableflow.sinks.keyvalue import encoded_pairs, sharded_export, upsert, value_column, with_shard
+from tableflow.sinks.manifest import export_with_manifest
 from tableflow.sources.keyvalue import read_backup
 from tableflow.sources.tables import read_sql, read_table_or_parquet
 from tableflow.spec import PartitionSpec
@@ -20,9 +21,10 @@ def bulk_pairs(spark: SparkSession, segment: str, *, table: str = "", path: str
 def shard_export_job(spark: SparkSession, segment: str, output: str, *, table: str = "",
                      path: str = "", spec: PartitionSpec | None = None, shards: int = 32,
                      tasks: int | None = None, one_file_per_shard: bool = False,
-                     newest_by: str | None = None) -> None:
+                     newest_by: str | None = None, manifest: str = "") -> None:
     """Encode a table (or parquet files with differing columns), shard and sort it, and
-    replace the output folder. ``ttl`` and ``score`` columns travel with the pairs."""
+    replace the output folder. ``ttl`` and ``score`` columns travel with the pairs. ``manifest``
+    names a folder for the index of the files."""
     df = read_table_or_parquet(spark, table, path, spec, merge_schema=True)
     value = value_column(df)
     if value.name != "value":
@@ -31,8 +33,11 @@ def shard_export_job(spark: SparkSession, segment: str, output: str, *, table: s
     carried += [newest_by] if newest_by else []
     keyed = with_shard(df, shards, F.col("key"))
     pairs = encoded_pairs(keyed, segment, keep=["shard_id", *carried])
-    sharded_export(pairs, output, shards, tasks=tasks, one_file_per_shard=one_file_per_shard,
-                   newest_by=newest_by)
+    placement = {"tasks": tasks, "one_file_per_shard": one_file_per_shard, "newest_by": newest_by}
+    if manifest:
+        export_with_manifest(pairs, output, manifest, shards, **placement)
+    else:
+        sharded_export(pairs, output, shards, **placement)
 
 
 def backup_export_job(spark: SparkSession, segment: str, path: str, output: str) -> None:

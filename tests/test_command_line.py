@@ -77,6 +77,37 @@ def test_key_value_kinds_and_migration(spark, tmp_path):
     assert content(spark, copy) == [(1,)]
 
 
+def test_counted_exports_rejects_indexes_and_changed_copies(spark, tmp_path, capsys):
+    url, source, table = "jdbc:derby:memory:cli;create=true", unique("src"), unique("dst")
+    append(spark.createDataFrame([("1",), ("x",), ("3",)], "a string"), Connection(url), source, 100)
+    job = {"connectionUrl": url, "sourceTable": source, "targetTable": table, "partitions": "dt=1",
+           "location": scratch_dir(spark, "dst"),
+           "columns": [{"columnName": "a", "columnType": "int", "dataType": "VARCHAR"}]}
+    run(tmp_path, "export", job, "--create", "--count-losses", "--at-once", "2")
+    assert f"{table} a: 1 of 3 lost" in capsys.readouterr().out
+    with pytest.raises(Exception, match="more values than allowed"):
+        run(tmp_path, "export", job, "--max-lost", "0")
+
+    copy, rejects = unique("copy"), unique("rejects")
+    arguments = {"source": table, "target": copy, "location": str(tmp_path / "copy")}
+    for line in ("1 partitions missing", "1 partitions same"):
+        run(tmp_path, "migrate-changed", arguments)
+        assert line in capsys.readouterr().out
+    (tmp_path / "in.csv").write_text("a\n4\nfour\n")
+    run(tmp_path, "csv-load-rejects", {
+        "location": str(tmp_path / "in.csv"), "table": copy, "rejects": rejects, "spec": "dt=2",
+        "rejects_location": str(tmp_path / "rejects")})
+    assert "1 lines loaded, 1 rejected" in capsys.readouterr().out
+    assert (4, "2") in spark.table(copy).collect()
+
+    pairs = str(tmp_path / "rows")
+    spark.createDataFrame([("k", "v")], "key string, value string").write.parquet(pairs)
+    run(tmp_path, "kv-export", {"segment": "s", "path": pairs, "output": str(tmp_path / "pairs"),
+                                "shards": 2, "manifest": str(tmp_path / "index")})
+    [row] = spark.read.parquet(str(tmp_path / "index")).collect()
+    assert row["pairs"] == 1
+
+
 def test_unknown_kind(tmp_path):
     with pytest.raises(SystemExit):
         run(tmp_path, "dance", {})
