@@ -31,7 +31,7 @@ from tableflow.scratch import ship_package
 #: Text whose words are put in a trie together (a document at least).
 SLICE_BYTES = 4 << 20
 #: Bytes of remembered words and pairs of a worker, about.
-KEPT_BYTES = 128 << 20
+KEPT_BYTES = 224 << 20
 #: What a remembered word costs beside its characters: objects, pointers, the table's places.
 WORD_COST, PAIR_COST = 400, 160
 
@@ -41,10 +41,16 @@ NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "},
     {"type": "Lowercase"}]}
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: The words of ASCII text; what begins with a letter, digit, apostrophe or other sign is apart.
+_WORDS = r"[A-Za-z]+|[0-9]|'(?:[sStTmMdD]|[rR][eE]|[vV][eE]|[lL][lL])|[^A-Za-z0-9 \t\n\r\f\v]+"
+_ASCII_UNITS = re.compile(_WORDS).findall
 #: What stands between white space, if it has characters beyond ASCII, or else its words.
 _UNITS = re.compile(
-    r"[^ \t\n\r\f\v]*[^\x00-\x7f][^ \t\n\r\f\v]*|'[sStTmMdD]|'[rR][eE]|'[vV][eE]|'[lL][lL]"
-    r"|[A-Za-z]+|[0-9]|[^A-Za-z0-9 \t\n\r\f\v]+").findall
+    r"[^ \t\n\r\f\v]*[^\x00-\x7f][^ \t\n\r\f\v]*|" + _WORDS).findall
+
+
+def units(text: str) -> list[str]:
+    return _ASCII_UNITS(text) if text.isascii() else _UNITS(text)
 
 
 class Merges:
@@ -108,7 +114,7 @@ class Merges:
         """Whether the two tokens stay apart and whole when their symbols are merged."""
         found = self.stands(right) and \
             self.merge(self.symbols(left) + self.symbols(right)) == [left, right]
-        if len(self.neighbours) * PAIR_COST >= KEPT_BYTES // 2:
+        if len(self.neighbours) * PAIR_COST >= KEPT_BYTES // 4:
             self.neighbours.clear()
         self.neighbours[left, right] = found
         return found
@@ -201,7 +207,8 @@ class Words:
     def split(self, unit: str) -> list[str]:
         """The words of a unit of a text, as visible characters."""
         if unit.isascii():
-            return [visible(unit.lower())]
+            low = unit.lower()
+            return [low if low.isprintable() else visible(low)]
         normal = self.library.normalizer.normalize_str(unit)
         return [word for word, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
@@ -220,18 +227,15 @@ class Words:
 
     def results(self, whole: list[str]) -> Iterator[list[tuple[int, str, str]]]:
         """For each text its units' number of ids, the ids in decimal, and the tokens' names."""
-        units = [[_UNITS(piece) if at % 2 == 0 else piece for at, piece in enumerate(self.cut(text))]
-                 for text in whole]
-        self.learn(set().union(*[held for pieces in units for held in pieces[::2]]))
-        for pieces in units:
-            found = []
-            for at, held in enumerate(pieces):
-                if at % 2:
-                    number = self.added[held]
-                    found.append((1, str(number), held))
-                else:
-                    found += map(self.known.__getitem__, held)
-            yield [one for one in found if one[0]]
+        cut = [[units(piece) if at % 2 == 0 else piece for at, piece in enumerate(self.cut(text))]
+               for text in whole]
+        self.learn(set().union(*[held for pieces in cut for held in pieces[::2]]))
+        for pieces in cut:
+            found = list(map(self.known.__getitem__, pieces[0]))
+            for at in range(1, len(pieces), 2):
+                found.append((1, str(self.added[pieces[at]]), pieces[at]))
+                found += map(self.known.__getitem__, pieces[at + 1])
+            yield found if all([one[0] for one in found]) else [one for one in found if one[0]]
 
 
 _words: dict[str, Words] = {}
@@ -270,9 +274,10 @@ def digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
         counts, ids_sha, text_sha = [], [], []
         for piece in _pieces(batch):
             for parts in words(path).results(piece):
-                counts.append(sum(part[0] for part in parts))
-                ids_sha.append(_sha256(part[1] for part in parts))
-                text_sha.append(_sha256(part[2] for part in parts))
+                numbers, decimals, names = zip(*parts) if parts else ((), (), ())
+                counts.append(sum(numbers))
+                ids_sha.append(_sha256(decimals))
+                text_sha.append(_sha256(names))
         return [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()),
                 pa.array(text_sha, pa.string())]
 
