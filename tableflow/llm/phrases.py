@@ -45,14 +45,14 @@ REPLACES = 100
 #: One document in so many is in the sample.
 SAMPLE = 10
 #: Bits of the filter, two of them for a phrase, and the blocks that it is put together from.
-FILTER_BITS = 28
+FILTER_BITS = 27
 FILTER_BLOCKS = 64
 #: Text that a task looks at at once (a document at least), and words of it.
 SLICE_BYTES = 2 << 20
 CHUNK = 1 << 18
 #: Text whose phrases are counted in a shard, about, and parts of them that are counted at once.
-SHARD_BYTES = 12 << 20
-CLASSES = 8
+SHARD_BYTES = 5 << 20
+CLASSES = 4
 
 #: White space between words, and what ends a piece (fixed by the contract).
 BLANK, BREAK = b" \t", b".,;:!?\n\v\f\r"
@@ -289,6 +289,7 @@ def _counts(docs: DataFrame, shards: int, least: int, now: Broadcast | None = No
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found[0], pa.int64()), pa.array(found[1], pa.bool_()),
                          pa.array(found[2], pa.binary())], ["shard", "words", "block"])
+            pa.default_memory_pool().release_unused()
 
     return docs.mapInArrow(send, BLOCKS).groupBy("shard", "words") \
         .applyInArrow(lambda table: _summed(table, least), FIELDS)
