@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -60,3 +61,15 @@ def slices(batch: pa.RecordBatch, column: str, most_bytes: int) -> Iterator[pa.R
             start, held = i, 0
         held += int(size)
     yield batch.slice(start)
+
+
+def give_back() -> None:
+    """Give free memory back to the system.
+
+    A worker serves the tasks of all stages, one after the other; what one of them has freed is
+    otherwise held beside what the next one needs.
+    """
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc has it
+    if trim is not None:
+        trim(0)

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableflow.llm.arrow import slices, texts
+from tableflow.llm.arrow import give_back, slices, texts
 from tableflow.llm.tokens import encoder
 from tableflow.scratch import ship_package, written
 
@@ -127,6 +127,7 @@ def write_images(docs: DataFrame, path: str, end_id: int, doc_id: str = "doc_id"
         bits = bits_for(max(encode.vocabulary, end_id + 1))
         part, piece, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
+            give_back()
             for own in slices(batch, "text", image_bytes) if batch.num_rows else ():
                 found = [encode.ids(one) + end for one in texts(own.column("text"))]
                 ids = np.frombuffer(b"".join(found), "<u4")

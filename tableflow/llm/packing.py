@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.arrow import slices, texts
+from tableflow.llm.arrow import give_back, slices, texts
 from tableflow.llm.bitpack import bits_for, pack, partitions, unpack
 from tableflow.llm.tokens import encoder
 from tableflow.scratch import ship_package, written
@@ -106,6 +106,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str,
         bits = bits_for(max(own.vocabulary, end_id + 1))
         part, held, last = TaskContext.get().partitionId(), 0, None
         for batch in batches:
+            give_back()
             for piece in slices(batch, "text", SLICE_BYTES) if batch.num_rows else ():
                 ids, starts, counts = [], [], []
                 for one, at in zip(texts(piece.column("text")), piece.column("source").to_pylist()):

@@ -33,7 +33,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tableflow.llm.arrow import slices, text_bytes
+from tableflow.llm.arrow import give_back, slices, text_bytes
 from tableflow.llm.windows import U, gathered, mixed, squeezed, unsqueezed, word_hashes
 from tableflow.scratch import ship_package, written
 
@@ -208,6 +208,7 @@ def _blocks_of(words: Words, now: Proposed | None, before: Proposed | None, shar
 
 def _summed(table: pa.Table, least: int) -> pa.Table:
     """Of a shard's blocks the phrases that occur often enough, and the languages' words."""
+    give_back()
     if table.column("words")[0].as_py():
         return _summed_words(table, least)
     parts = []
@@ -289,7 +290,7 @@ def _counts(docs: DataFrame, shards: int, least: int, now: Broadcast | None = No
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found[0], pa.int64()), pa.array(found[1], pa.bool_()),
                          pa.array(found[2], pa.binary())], ["shard", "words", "block"])
-            pa.default_memory_pool().release_unused()
+            give_back()
 
     return docs.mapInArrow(send, BLOCKS).groupBy("shard", "words") \
         .applyInArrow(lambda table: _summed(table, least), FIELDS)
