@@ -8,8 +8,8 @@ logits are added by weights from a gate that knows the bit and how much two of t
 seen, and the mixed probability is refined by what came of such predictions before.
 
 Learning is distributed. Counts of words, and counts of bits by context, are summed over all
-training texts. Then every task goes through its training texts once more, predicts each bit from
-the counts without the bit itself, and follows the error with its weights; the tasks' weights are
+training texts. Then every bundle of training texts is gone through once more: each bit is predicted
+from the counts without the bit itself, and the weights follow the error; the bundles' weights are
 averaged and their refinements' counts summed. The bit counts, weights and refinements have a
 fixed size; the words' counts stay distributed and meet the texts by blocks (see ``windows``).
 """
@@ -49,6 +49,8 @@ COUNTED = 1 << 17
 RATE = 0.02
 #: Text that a task looks at at once (a document at least).
 SLICE_BYTES = 2 << 20
+#: The bundles' mixers are joined in so many tasks before the driver joins the rest.
+JOINED = 16
 #: The bit counts are summed up in so many blocks.
 PARTS = 64
 
@@ -409,27 +411,35 @@ def _joined_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     found = _joined(pickle.loads(one.as_py()) for batch in batches
                     for one in batch.column("mixer"))
     if found is not None:
-        yield pa.RecordBatch.from_pydict({"salt": pa.array([0], pa.int32()),
-                                          "mixer": pa.array([pickle.dumps(found)], pa.binary())})
+        yield pa.RecordBatch.from_pydict({
+            "salt": pa.array([TaskContext.get().partitionId()], pa.int32()),
+            "bundle": pa.array([0], pa.int64()),
+            "mixer": pa.array([pickle.dumps(found)], pa.binary())})
 
 
 def mixing_weights(train: DataFrame, counts, name: str) -> Mixer:
-    """The mixer learnt by all tasks from all training texts, with a broadcast of their counts."""
-    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The mixer learnt from all training texts by their bundles, with a broadcast of their counts.
+
+    Bundles learn on their own and are joined in their order, so the result doesn't depend on how
+    the table was split into tasks.
+    """
+    def learn(table: pa.Table) -> pa.Table:
         mixer, predictors = Mixer.new(), _predictors(counts, name)
-        for batch in batches:
-            for piece in slices(batch, "text", SLICE_BYTES) if batch.num_rows else ():
+        bundle, table = table.column("bundle")[0].as_py(), in_order(table)
+        for batch in table.select(["text"]).combine_chunks().to_batches():
+            for piece in slices(batch, "text", SLICE_BYTES):
                 mixer.learn(predictors, tokens(piece.column("text")))
-        if mixer.learnt:
-            mixer.squares = mixer.squares[:0]
-            yield pa.RecordBatch.from_pydict({
-                "salt": pa.array([TaskContext.get().partitionId() % 16], pa.int32()),
-                "mixer": pa.array([pickle.dumps(mixer)], pa.binary())})
-
-    schema = "salt int, mixer binary"
-    rows = train.select("text").mapInArrow(learn, schema) \
-        .repartition(16, "salt").mapInArrow(_joined_batches, schema).collect()  # 16 at the most
-    return _joined(pickle.loads(row["mixer"]) for row in rows) or Mixer.new()
+        mixer.squares = mixer.squares[:0]
+        return pa.table({"salt": pa.array([bundle % JOINED], pa.int32()),
+                         "bundle": pa.array([bundle], pa.int64()),
+                         "mixer": pa.array([pickle.dumps(mixer)], pa.binary())})
+
+    schema = "salt int, bundle long, mixer binary"
+    rows = train.select("bundle", "doc_id", "text").groupBy("bundle").applyInArrow(learn, schema) \
+        .repartition(JOINED, "salt").sortWithinPartitions("salt", "bundle") \
+        .mapInArrow(_joined_batches, schema).collect()  # JOINED at the most
+    ordered = sorted(rows, key=lambda row: row["salt"])
+    return _joined(pickle.loads(row["mixer"]) for row in ordered) or Mixer.new()
 
 
 # --- scores ---------------------------------------------------------------------------------

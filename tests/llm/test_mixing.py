@@ -118,3 +118,11 @@ def test_large_counts_keep_their_shares():
     pairs = np.array([[1, 2], [0, (1 << 32) - 1], [1 << 32, 3 << 32], [1 << 40, 7], [0, 0]])
     assert mixing.fitted(pairs).tolist() == [
         [1, 2], [0, (1 << 32) - 1], [1 << 30, 3 << 30], [1 << 31, 0], [0, 0]]
+
+
+def test_scores_do_not_depend_on_the_tables_split(documents):
+    def scores(parts):
+        rows = mixing.scored(documents.repartition(parts), bundle_bytes=3000).collect()
+        return sorted((str(row["doc_id"]), row["n_tokens"], row["score"]) for row in rows)
+
+    assert scores(1) == scores(7)
