@@ -127,7 +127,7 @@ def encoded(docs: DataFrame, path: str, end_id: int, doc_id: str, text: str,
 
     return written(rows.mapInArrow(encode, "doc_id long, source string, part int, part_start long, "
                                            "doc_tokens long, ids binary, bits int"),
-                   "encoded", compression="zstd")
+                   "encoded", compression="snappy")  # packed ids hold little to compress
 
 
 def packed(docs: DataFrame, path: str, end_id: int = 0, mixture: dict[str, float] | None = None,
