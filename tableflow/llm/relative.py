@@ -164,8 +164,8 @@ def cleaned(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """The documents without their repeats, in their own columns.
 
     Documents that hold no repeat keep their texts as they are. From the others the repeats are cut
-    with the white space after them; documents of which no word is left go. ``length`` names a column that holds the
-    text's characters and follows the change.
+    with the white space after them; documents of which no word is left go. ``length`` names a
+    column that holds the text's characters and follows the change.
     """
     found = without_repeats(docs, doc_id, text, with_kept=True)
     found = found.where((F.col("n_removed") == 0) | (F.col("n_removed") < F.col("n_words")))
